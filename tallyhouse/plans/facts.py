@@ -71,6 +71,17 @@ def _product_keys(dim_producto: DataFrame, *extra: str) -> DataFrame:
     return dim_producto.select(F.col("codigo").alias("product_codigo"), "sk_producto", *extra)
 
 
+def _with_header(lines: DataFrame, header: DataFrame) -> DataFrame:
+    """Lines and their header, both of fact size.
+
+    Always a merge join: compressed files look smaller than they are, and neither
+    side should ever be collected for a broadcast. It comes last, so the stored
+    lines of one document lie next to each other and collapse before the shuffle
+    when they are grouped by document.
+    """
+    return lines.join(header.hint("merge"), "numero")
+
+
 def purchase_lines(
     stg_compras_header: DataFrame,
     stg_compras_detalle: DataFrame,
@@ -90,8 +101,8 @@ def purchase_lines(
         .join(supplier, "proveedor_documento")
         .select("numero", "sk_fecha", "sk_proveedor")
     )
-    lines = stg_compras_detalle.join(header, "numero")
-    return lines.join(_product_keys(dim_producto), "product_codigo").select(
+    lines = stg_compras_detalle.join(_product_keys(dim_producto), "product_codigo")
+    return _with_header(lines, header).select(
         "numero",
         "sk_fecha",
         "sk_producto",
@@ -147,9 +158,9 @@ def sale_lines(
         "tipo",
         F.nullif(rate, F.lit(0.0)).alias("rate"),
     )
-    lines = stg_ventas_detalle.join(header, "numero")
     product = _product_keys(dim_producto, "costo_usd", "precio_venta_usd")
-    return lines.join(product, "product_codigo").select(
+    lines = stg_ventas_detalle.join(product, "product_codigo")
+    return _with_header(lines, header).select(
         "fecha",
         "sk_fecha",
         "sk_hora",
