@@ -30,11 +30,12 @@ def shorten(value: Column, length: int = 38) -> Column:
 
 
 def amount_text(value: Column, places: int = 2) -> Column:
-    return F.coalesce(F.format_number(value, places), F.lit("-"))
+    """Rounded as a binary number, as text formatting of floats does."""
+    return F.coalesce(F.format_number(value.cast("double"), places), F.lit("-"))
 
 
 def percent_text(value: Column, places: int = 2) -> Column:
-    return F.coalesce(F.concat(F.format_number(value, places), F.lit("%")), F.lit("-"))
+    return F.coalesce(F.concat(F.format_number(value.cast("double"), places), F.lit("%")), F.lit("-"))
 
 
 def integer_text(value: Column) -> Column:

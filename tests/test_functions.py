@@ -51,6 +51,8 @@ def test_report_text(spark):
     assert one(spark, text.amount_text(amount)) == "1,234,567.50"
     assert one(spark, text.amount_text(amount, 0)) == "1,234,568"
     assert one(spark, text.percent_text(F.lit(Decimal("12.34")), 1)) == "12.3%"
+    assert one(spark, text.percent_text(F.lit(Decimal("44.45")), 1)) == "44.5%"
+    assert one(spark, text.percent_text(F.lit(Decimal("44.35")), 1)) == "44.4%"
     assert one(spark, text.integer_text(F.lit(1234))) == "1,234"
     for render in (text.amount_text, text.percent_text, text.integer_text):
         assert one(spark, render(F.lit(None).cast("decimal(18,2)"))) == "-"
