@@ -20,7 +20,7 @@ def whole(value: Column) -> Column:
     return F.rint(value).try_cast("int")
 
 
-def total(value: Column) -> Column:
+def total(value: Column | str) -> Column:
     """Sum of amounts, kept at a precision that can be summed again."""
     return F.sum(value).cast(TOTAL)
 

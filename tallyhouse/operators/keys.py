@@ -8,19 +8,29 @@ ROW_BITS = 33
 ROW_MASK = (1 << ROW_BITS) - 1
 
 
-def assign_keys(df: DataFrame, order_by: list[str], key: str, store, name: str) -> DataFrame:
+def assign_keys(
+    df: DataFrame, order_by: list[str], key: str, store, name: str, copies: bool = False
+) -> DataFrame:
     """Number the rows 1..n in the given order (NULLs last).
 
     The rows are range-partitioned and sorted once and written, so that both the
     per-partition counts and the numbered rows come from the same stored rows
     even if an executor is lost in between. The offsets have one row per
     partition, which bounds what is broadcast.
+
+    With copies, rows that are equal in every ordering column may be many: they
+    are spread over partitions by their position in the input. That position has
+    to be stable, so df must read a stored table without a shuffle in between.
     """
     ordering = [F.asc_nulls_last(c) for c in order_by]
+    ranged = df
+    if copies:
+        ranged = df.withColumn("_copy", F.monotonically_increasing_id())
     placed = store.save(
         "work",
         f"{name}_placed",
-        df.repartitionByRange(*ordering)
+        ranged.repartitionByRange(*ordering, *ranged.columns[len(df.columns) :])
+        .select(df.columns)
         .sortWithinPartitions(*ordering)
         .withColumn("_pos", F.monotonically_increasing_id()),
     )

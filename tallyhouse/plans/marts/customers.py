@@ -21,22 +21,28 @@ def ticket_by_customer_type(invoices_by_type: DataFrame, store) -> DataFrame:
     invoices = invoices_by_type.withColumn(
         "codigo_tipo", F.coalesce("tipo", F.lit(UNKNOWN_CODE))
     )
-    segments = invoices.groupBy("codigo_tipo").agg(
-        F.count(F.lit(1)).alias("nro_facturas"),
-        total(F.col("ingreso")).alias("ingreso_total_usd"),
-        F.sum("unidades").alias("unidades_vendidas"),
-        F.sum("lineas").alias("lineas"),
-        F.min("ingreso").alias("ticket_minimo_usd"),
-        F.max("ingreso").alias("ticket_maximo_usd"),
-    )
-    median = quantile_per_group(
-        invoices, "codigo_tipo", "ingreso", 0.5, "mediana", store, "ticket_by_customer_type"
+    segments = quantile_per_group(
+        invoices.withColumn("uno", F.lit(1)),
+        "codigo_tipo",
+        "ingreso",
+        0.5,
+        "mediana",
+        store,
+        "ticket_by_customer_type",
+        {
+            "nro_facturas": (F.sum, "uno"),
+            "ingreso_total_usd": (total, "ingreso"),
+            "unidades_vendidas": (F.sum, "unidades"),
+            "lineas": (F.sum, "lineas"),
+            "ticket_minimo_usd": (F.min, "ingreso"),
+            "ticket_maximo_usd": (F.max, "ingreso"),
+        },
     )
     label = F.when(F.lit(False), F.lit(""))
     for code, text in TYPE_LABELS.items():
         label = label.when(F.col("codigo_tipo") == code, text)
     count, revenue = F.col("nro_facturas"), F.col("ingreso_total_usd")
-    return segments.join(median, "codigo_tipo", "left").select(
+    return segments.select(
         "codigo_tipo",
         label.otherwise(UNKNOWN_LABEL).alias("tipo_cliente"),
         "nro_facturas",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.text import after_prefix
+from tallyhouse.operators.joins import optional_lookup
 from tallyhouse.plans.dims import reason
 
 # Mandatory columns, code domains and text lengths of the schema.
@@ -82,15 +83,21 @@ def _column_rules(warehouse) -> Iterator[DataFrame]:
             rules[c, "dominio"] = ~F.col(c).isin(allowed)
         for c, length in MAX_LENGTH.get(table, {}).items():
             rules[c, "longitud"] = F.length(c) > length
-        counts = [F.count_if(broken) for broken in rules.values()]
-        labels = [
-            F.struct(F.lit(c).alias("columna"), F.lit(rule).alias("regla")) for c, rule in rules
-        ]
-        counted = warehouse[table].agg(F.array(*counts).alias("filas"))
-        yield counted.select(
-            F.lit(FACT_NAMES.get(table, table)).alias("tabla"),
-            F.explode(F.arrays_zip(F.array(*labels).alias("regla"), F.col("filas"))).alias("r"),
-        ).select("tabla", "r.regla.columna", F.col("r.regla.regla").alias("regla"), "r.filas")
+        yield _counts(warehouse[table], FACT_NAMES.get(table, table), rules)
+
+
+def _counts(df: DataFrame, table: str, rules: dict[tuple[str, str], Column]) -> DataFrame:
+    """One row per rule with the number of rows that break it, in one pass."""
+    results = [
+        F.struct(
+            F.lit(column).alias("columna"),
+            F.lit(rule).alias("regla"),
+            F.count_if(broken).alias("filas"),
+        )
+        for (column, rule), broken in rules.items()
+    ]
+    counted = df.agg(F.array(*results).alias("results"))
+    return counted.select(F.lit(table).alias("tabla"), F.inline("results"))
 
 
 def _key_rules(warehouse) -> Iterator[DataFrame]:
@@ -102,82 +109,73 @@ def _key_rules(warehouse) -> Iterator[DataFrame]:
 
 
 def _reference_rules(warehouse) -> Iterator[DataFrame]:
-    """Staging rows that find no partner: dropped by inner joins, NULL in outer ones."""
-    header, detail = warehouse["stg_ventas_header"], warehouse["stg_ventas_detalle"]
-    bought, bought_lines = warehouse["stg_compras_header"], warehouse["stg_compras_detalle"]
-    moves = warehouse["stg_movimientos_inventario"]
+    """Staging rows that find no partner: dropped by inner joins, NULL in outer ones.
 
-    def keys(table: str, column: str) -> DataFrame:
-        return warehouse[table].select(F.col(column).alias("key"))
+    Every staging table is read once for all its references.
+    """
 
-    def header_keys(df: DataFrame) -> DataFrame:
-        return df.select(F.col("numero").alias("key"))
+    def dim(table: str, column: str) -> DataFrame:
+        return warehouse[table].select(F.col(column).alias("parent"))
 
-    day = F.to_date("fecha_hora")
-    customer = after_prefix("cliente_documento")
-    rules = [
-        ("stg_ventas_detalle", "numero", detail, F.col("numero"), header_keys(header)),
-        (
-            "stg_ventas_detalle",
-            "product_codigo",
-            detail,
-            F.col("product_codigo"),
-            keys("dim_producto", "codigo"),
-        ),
-        ("stg_ventas_header", "fecha_hora", header, day, keys("dim_tiempo", "fecha")),
-        (
-            "stg_ventas_header",
-            "cliente_documento",
-            header.where("cliente_documento IS NOT NULL"),
-            customer,
-            keys("dim_clientes", "documento"),
-        ),
-        (
-            "stg_ventas_header",
-            "usuario",
-            header.where("usuario IS NOT NULL"),
-            F.col("usuario"),
-            keys("dim_usuarios", "username"),
-        ),
-        ("stg_compras_detalle", "numero", bought_lines, F.col("numero"), header_keys(bought)),
-        (
-            "stg_compras_detalle",
-            "product_codigo",
-            bought_lines,
-            F.col("product_codigo"),
-            keys("dim_producto", "codigo"),
-        ),
-        (
-            "stg_compras_header",
-            "proveedor_documento",
-            bought,
-            F.col("proveedor_documento"),
-            keys("dim_proveedor", "documento"),
-        ),
-        ("stg_compras_header", "fecha_hora", bought, day, keys("dim_tiempo", "fecha")),
-        (
-            "stg_movimientos_inventario",
-            "product_codigo",
-            moves,
-            F.col("product_codigo"),
-            keys("dim_producto", "codigo"),
-        ),
-        ("stg_movimientos_inventario", "fecha_hora", moves, day, keys("dim_tiempo", "fecha")),
-        (
-            "stg_movimientos_inventario",
-            "tipo, motivo",
-            moves,
-            _kind(F.col("tipo"), reason("motivo")),
-            warehouse["dim_tipo_movimiento"].select(_kind(F.col("codigo"), F.col("motivo"))),
-        ),
-    ]
-    for table, column, rows, key, parents in rules:
-        orphans = rows.select(key.alias("key")).join(parents.toDF("key"), "key", "left_anti")
-        yield _one_row(orphans, table, column, "sin_referencia")
+    def documents(table: str) -> DataFrame:
+        return warehouse[table].select(F.col("numero").alias("parent"))
 
+    def kind(code: str, motive: Column) -> Column:
+        return F.concat_ws("\n", code, motive)
 
-def _kind(code: Column, motive: Column) -> Column:
-    return F.struct(code.alias("codigo"), motive.alias("motivo"))
+    day, product = F.to_date("fecha_hora"), F.col("product_codigo")
+    kinds = warehouse["dim_tipo_movimiento"].select(kind("codigo", F.col("motivo")).alias("parent"))
+    customer = after_prefix("cliente_documento")
+    # Column, key, parents, and whether a missing key is allowed.
+    rules = {
+        "stg_ventas_detalle": [
+            ("numero", F.col("numero"), documents("stg_ventas_header"), False),
+            ("product_codigo", product, dim("dim_producto", "codigo"), False),
+        ],
+        "stg_ventas_header": [
+            ("fecha_hora", day, dim("dim_tiempo", "fecha"), False),
+            ("cliente_documento", customer, dim("dim_clientes", "documento"), True),
+            ("usuario", F.col("usuario"), dim("dim_usuarios", "username"), True),
+        ],
+        "stg_compras_detalle": [
+            ("numero", F.col("numero"), documents("stg_compras_header"), False),
+            ("product_codigo", product, dim("dim_producto", "codigo"), False),
+        ],
+        "stg_compras_header": [
+            (
+                "proveedor_documento",
+                F.col("proveedor_documento"),
+                dim("dim_proveedor", "documento"),
+                False,
+            ),
+            ("fecha_hora", day, dim("dim_tiempo", "fecha"), False),
+        ],
+        "stg_movimientos_inventario": [
+            ("product_codigo", product, dim("dim_producto", "codigo"), False),
+            ("fecha_hora", day, dim("dim_tiempo", "fecha"), False),
+            (
+                "tipo, motivo",
+                F.when(F.col("tipo").isNotNull(), kind("tipo", reason("motivo"))),
+                kinds,
+                False,
+            ),
+        ],
+    }
+    for table, references in rules.items():
+        rows = warehouse[table].select(
+            *[key.alias(f"key{i}") for i, (_, key, _, _) in enumerate(references)]
+        )
+        broken = {}
+        for i, (column, _, parents, optional) in enumerate(references):
+            known = parents.distinct().withColumn(f"found{i}", F.lit(True))
+            # A row without this key is spread by another key.
+            other = f"key{(i + 1) % len(references)}"
+            rows = optional_lookup(rows, known, f"key{i}", "parent", spread_by=other)
+            missing = F.col(f"found{i}").isNull()
+            if optional:
+                missing &= F.col(f"key{i}").isNotNull()
+            broken[column, "sin_referencia"] = missing
+        yield _counts(rows, table, broken)
 
 
 def _one_row(broken: DataFrame, table: str, column: str, rule: str) -> DataFrame:

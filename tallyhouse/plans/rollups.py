@@ -3,7 +3,7 @@
 Counting distinct invoices is the one measure that is not additive. Nearly every
 invoice has a single row after sales_by_invoice, and those can simply be counted.
 The few that span several days, currencies or customer types (duplicate holidays,
-colliding customer documents) are marked, stored apart and counted exactly.
+colliding customer documents) are marked and counted exactly.
 """
 
 from pyspark.sql import Column, DataFrame, Window

@@ -36,10 +36,10 @@ class Store:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def save(self, layer: str, name: str, df: DataFrame, partition_by: tuple = ()) -> DataFrame:
+    def save(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Replace a table and return it as read from storage."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, name))
-        return self.spark.read.schema(df.schema).parquet(self.path(layer, name)).select(df.columns)
+        df.write.mode("overwrite").parquet(self.path(layer, name))
+        return self.spark.read.schema(df.schema).parquet(self.path(layer, name))
 
     def publish(self, layer: str, name: str, df: DataFrame) -> None:
         """Make a stored table visible to SQL as layer.name."""

@@ -56,12 +56,12 @@ LINES: dict[str, tuple[Callable, list[str]]] = {
         ],
     ),
 }
-ROLLUPS: dict[str, tuple[Callable, list[str], tuple[str, ...]]] = {
-    "sales_by_invoice": (rollups.sales_by_invoice, ["sale_lines"], ("repetida",)),
-    "sales_by_day": (rollups.sales_by_day, ["sales_by_invoice"], ()),
-    "sales_by_product": (rollups.sales_by_product, ["sale_lines"], ()),
-    "stock_by_product": (rollups.stock_by_product, ["movement_lines"], ()),
-    "product_totals": (products.product_totals, ["sales_by_product", "dim_producto"], ()),
+ROLLUPS: dict[str, tuple[Callable, list[str]]] = {
+    "sales_by_invoice": (rollups.sales_by_invoice, ["sale_lines"]),
+    "sales_by_day": (rollups.sales_by_day, ["sales_by_invoice"]),
+    "sales_by_product": (rollups.sales_by_product, ["sale_lines"]),
+    "stock_by_product": (rollups.stock_by_product, ["movement_lines"]),
+    "product_totals": (products.product_totals, ["sales_by_product", "dim_producto"]),
 }
 MARTS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "p01_top_productos": lambda w: products.top_products(
@@ -146,7 +146,8 @@ class Warehouse:
         lines = self[source]
         order = [first, *[c for c in columns if c != first]]
         needed = lines.select(*dict.fromkeys(order))
-        return assign_keys(needed, order, key, self.store, name).select(key, *columns)
+        keyed = assign_keys(needed, order, key, self.store, name, copies=True)
+        return keyed.select(key, *columns)
 
     def _stored(self, name: str) -> DataFrame:
         if name in DIMS:
@@ -158,6 +159,6 @@ class Warehouse:
         if name in LINES:
             return self.store.save("work", name, self.lines(name))
         if name in ROLLUPS:
-            build, inputs, partition_by = ROLLUPS[name]
-            return self.store.save("work", name, build(*[self[i] for i in inputs]), partition_by)
+            build, inputs = ROLLUPS[name]
+            return self.store.save("work", name, build(*[self[i] for i in inputs]))
         return self.store.save("marts", name, self.plan(name))
