@@ -5,7 +5,6 @@ keys) that break it, so that a rule with zero is visible too.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +71,15 @@ STRICT_RULES = ("no_nulo", "dominio", "longitud", "unico")
 def quality_checks(warehouse) -> DataFrame:
     """tabla, columna, regla and the number of rows or keys that break the rule."""
     results = [*_column_rules(warehouse), *_key_rules(warehouse), *_reference_rules(warehouse)]
-    return reduce(DataFrame.unionByName, results)
+    return _union(results)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    """Union in halves: every step analyzes its input again, so a chain would be quadratic."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return _union(frames[:middle]).union(_union(frames[middle:]))
 
 
 def _column_rules(warehouse) -> Iterator[DataFrame]:

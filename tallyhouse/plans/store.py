@@ -7,15 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the session."""
+    """The folder all executors can reach, as named by the session.
+
+    Only a local session, whose executors live in one process, gets a temporary
+    folder when none is named.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="tallyhouse-")
 
 
 class Store:
