@@ -509,3 +509,9 @@ def report_datasets(w) -> dict[str, DataFrame]:
         for name, (mart, order) in READS.items()
     }
     return reads | {name: build(w) for name, build in DATASETS.items()}
+
+
+def write_report(w) -> None:
+    """Store every result set in the report layer."""
+    for name, df in report_datasets(w).items():
+        w.store.save("report", name, df)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.__main__ import main
 from tallyhouse.plans.facts import FACT_LINES
 from tallyhouse.plans.pipeline import QualityError, run_pipeline
 from tallyhouse.plans.report import DATASETS, READS, report_datasets
@@ -46,7 +47,7 @@ def test_run_publish_and_rerun(spark, inputs, tmp_path):
     first = {name: snapshot(spark.table(name)) for name in names}
     assert all(rows > 0 for name, (_, rows) in first.items())
 
-    again = run_pipeline(spark, specs, root)
+    again = main([inputs, root, "--report"])
     assert {name: snapshot(spark.table(name)) for name in names} == first
 
     # Reading the CSV copy gives the same warehouse as the tables themselves.
@@ -54,6 +55,9 @@ def test_run_publish_and_rerun(spark, inputs, tmp_path):
     for mart in ("p04_margen", "p18_mix_monedas", "p19_tipo_cambio_mensual"):
         assert snapshot(direct[mart]) == snapshot(spark.table(f"marts.{mart}"))
 
+    stored = spark.read.parquet(f"{root}/report/currency_share_pivot")
+    assert stored.columns == ["mes_inicio", "bs", "usd", "cop"] and stored.count() > 0
+
     sets = report_datasets(again)
     assert set(sets) == set(DATASETS) | set(READS)
     months = [r.mes_inicio for r in sets["p19_mes"].collect()]
@@ -82,5 +86,17 @@ def test_broken_constraint_stops_before_the_marts(spark, inputs, tmp_path):
     assert not (tmp_path / "wh" / "marts").exists()
 
 
+class FakeSession:
+    """Stands in for a session without a named folder."""
+
+    def __init__(self, master, **settings):
+        self.conf = settings
+        self.sparkContext = type("Context", (), {"master": master})
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(FakeSession("yarn", **{"spark.checkpoint.dir": "s3a://b/x/"})) == "s3a://b/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("yarn"))
+    assert "tallyhouse-" in shared_folder(FakeSession("local[2]"))
