@@ -6,31 +6,38 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id keeps the partition number above bit 33.
 ROW_BITS = 33
 ROW_MASK = (1 << ROW_BITS) - 1
+# Up to this many rows one sorted task is cheaper than the distributed path.
+SMALL_ROWS = 20_000
 
 
 def assign_keys(
-    df: DataFrame, order_by: list[str], key: str, store, name: str, copies: bool = False
+    rows: DataFrame,
+    order_by: list[str],
+    key: str,
+    store,
+    name: str,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Number the rows 1..n in the given order (NULLs last).
 
-    The rows are range-partitioned and sorted once and written, so that both the
+    rows has to read a stored table without a shuffle in between, so that it can
+    be read twice alike. A few rows are numbered in one sorted task. Otherwise
+    they are range-partitioned and sorted once and written, so that both the
     per-partition counts and the numbered rows come from the same stored rows
     even if an executor is lost in between. The offsets have one row per
-    partition, which bounds what is broadcast.
-
-    With copies, rows that are equal in every ordering column may be many: they
-    are spread over partitions by their position in the input. That position has
-    to be stable, so df must read a stored table without a shuffle in between.
+    partition, which bounds what is broadcast. Rows that are equal in every
+    ordering column may be many; their position in the input spreads them.
     """
     ordering = [F.asc_nulls_last(c) for c in order_by]
-    ranged = df
-    if copies:
-        ranged = df.withColumn("_copy", F.monotonically_increasing_id())
+    if rows.count() <= small_rows:
+        place = F.row_number().over(Window.orderBy(*ordering)).cast("bigint")
+        return rows.select(place.alias(key), *rows.columns)
     placed = store.save(
         "work",
         f"{name}_placed",
-        ranged.repartitionByRange(*ordering, *ranged.columns[len(df.columns) :])
-        .select(df.columns)
+        rows.withColumn("_copy", F.monotonically_increasing_id())
+        .repartitionByRange(*ordering, "_copy")
+        .drop("_copy")
         .sortWithinPartitions(*ordering)
         .withColumn("_pos", F.monotonically_increasing_id()),
     )
@@ -42,4 +49,4 @@ def assign_keys(
     )
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     position = F.col("_pos").bitwiseAND(F.lit(ROW_MASK))
-    return numbered.select((F.col("_offset") + position + 1).alias(key), *df.columns)
+    return numbered.select((F.col("_offset") + position + 1).alias(key), *rows.columns)

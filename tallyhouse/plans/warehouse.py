@@ -146,13 +146,13 @@ class Warehouse:
         lines = self[source]
         order = [first, *[c for c in columns if c != first]]
         needed = lines.select(*dict.fromkeys(order))
-        keyed = assign_keys(needed, order, key, self.store, name, copies=True)
-        return keyed.select(key, *columns)
+        return assign_keys(needed, order, key, self.store, name).select(key, *columns)
 
     def _stored(self, name: str) -> DataFrame:
         if name in DIMS:
             key, order = dims.KEYS[name]
-            keyed = assign_keys(self.dimension(name), order, key, self.store, name)
+            rows = self.store.save("work", f"{name}_rows", self.dimension(name))
+            keyed = assign_keys(rows, order, key, self.store, name)
             return self.store.save("core", name, keyed.drop("hora_desc"))
         if name in facts.FACT_LINES:
             return self.store.save("core", name, self.fact(name))

@@ -76,12 +76,19 @@ def build(spark, tmp_path):
     return _build
 
 
+@pytest.fixture(scope="module")
+def usual(spark, tmp_path_factory):
+    """The warehouse over the unchanged rows, built once."""
+    staging = {name: spark.createDataFrame(data, SCHEMAS[name]) for name, data in rows().items()}
+    return Warehouse(staging, Store(spark, str(tmp_path_factory.mktemp("usual"))))
+
+
 def pick(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-def test_customers(build):
-    w = build()
+def test_customers(usual):
+    w = usual
     assert pick(w["dim_clientes"], "documento", "tipo", "email") == [
         ("1", "J", "t@x.org"),
         ("1", "V", "ana@x.org"),
@@ -89,8 +96,8 @@ def test_customers(build):
     ]
 
 
-def test_users_and_suppliers(build):
-    w = build()
+def test_users_and_suppliers(usual):
+    w = usual
     assert pick(w["dim_usuarios"], "username", "rol", "activo") == [
         ("ana", "consulta", False),
         ("ana", "vendedor", True),
@@ -101,8 +108,8 @@ def test_users_and_suppliers(build):
     ]
 
 
-def test_products(build):
-    w = build()
+def test_products(usual):
+    w = usual
     assert pick(w["dim_producto"], "codigo", "descripcion", "categoria", "costo_usd") == [
         ("P1", "Filtro aceite", "FILTRO", Decimal("8.00")),
         ("SIN-CODIGO", "Bujia larga", "BUJIA", Decimal("1.00")),
@@ -111,8 +118,8 @@ def test_products(build):
     assert (first.marca, first.nro_original, first.stock_minimo) == (None, None, 0)
 
 
-def test_hours_and_movement_types(build):
-    w = build()
+def test_hours_and_movement_types(usual):
+    w = usual
     assert [tuple(r) for r in w["dim_hora"].orderBy("sk_hora").collect()] == [
         (1, 13, "tarde"),
         (2, 12, "mediodia"),
@@ -127,8 +134,8 @@ def test_hours_and_movement_types(build):
     ]
 
 
-def test_sales_convert_drop_and_multiply(build):
-    w = build()
+def test_sales_convert_drop_and_multiply(usual):
+    w = usual
     columns = ("nro_factura", "cantidad", "precio_unit_usd", "subtotal_usd")
     # F1 meets the two users called ana, F2 the two customers whose document is 1,
     # F3 has an unknown currency, F4 has no rate, F9 no header, PX no product.
@@ -163,8 +170,8 @@ def test_zero_rate_gives_null_price_and_is_counted(build):
     assert broken["fact_ventas", "precio_unit_usd", "no_nulo"] == 2
 
 
-def test_movements(build):
-    w = build()
+def test_movements(usual):
+    w = usual
     columns = ("cantidad_entrada", "cantidad_salida", "cantidad_neta", "stock_resultante")
     assert pick(w["fact_mov_inventario"], *columns) == [
         (0, 2, -2, 7),
@@ -173,8 +180,8 @@ def test_movements(build):
     ]
 
 
-def test_dead_stock_classes(build):
-    w = build()
+def test_dead_stock_classes(usual):
+    w = usual
     by_code = {r.codigo: r for r in w["p06_inventario_muerto"].collect()}
     sold, never = by_code["P1"], by_code["SIN-CODIGO"]
     # Two movements at 13:00: the higher resulting stock counts.
@@ -184,8 +191,8 @@ def test_dead_stock_classes(build):
     assert (never.clasificacion, never.es_inventario_muerto) == ("NUNCA VENDIDO", True)
 
 
-def test_null_brand_is_not_a_subtotal(build):
-    w = build()
+def test_null_brand_is_not_a_subtotal(usual):
+    w = usual
     levels = {(r.nivel, r.categoria, r.marca, r.codigo) for r in w["p04_margen"].collect()}
     assert levels == {
         ("PRODUCTO", "FILTRO", None, "P1"),
@@ -213,9 +220,9 @@ def test_no_sales_at_all(build):
     assert {r.clasificacion for r in w["p06_inventario_muerto"].collect()} == {"NUNCA VENDIDO"}
 
 
-def test_quality_counts(build):
+def test_quality_counts(usual):
     broken = {
-        (r.tabla, r.columna, r.regla): r.filas for r in quality_checks(build()).collect() if r.filas
+        (r.tabla, r.columna, r.regla): r.filas for r in quality_checks(usual).collect() if r.filas
     }
     assert broken == {
         ("dim_clientes", "documento", "clave_repetida"): 1,

@@ -38,10 +38,13 @@ def test_first_per_key(spark, rows):
 
 
 @RANDOM
-@given(rows=st.lists(st.tuples(maybe_text, maybe_int), max_size=60))
-def test_assign_keys_are_dense_and_ordered(spark, store, rows):
+@given(
+    rows=st.lists(st.tuples(maybe_text, maybe_int), max_size=60), small_rows=st.sampled_from([0, 99])
+)
+def test_assign_keys_are_dense_and_ordered(spark, store, rows, small_rows):
     df = spark.createDataFrame(rows, "a string, b int").repartition(3)
-    keyed = assign_keys(df, ["a", "b"], "sk", store, "t").collect()
+    stored = store.save("work", "rows", df)
+    keyed = assign_keys(stored, ["a", "b"], "sk", store, "t", small_rows).collect()
     by_key = sorted(keyed, key=lambda r: r.sk)
     assert [r.sk for r in by_key] == list(range(1, len(rows) + 1))
     encoded = [tuple((v is None, v.encode() if isinstance(v, str) else v) for v in (r.a, r.b)) for r in by_key]
@@ -49,6 +52,19 @@ def test_assign_keys_are_dense_and_ordered(spark, store, rows):
     assert Counter((r.a, r.b) for r in keyed) == Counter(rows)
 
 
+def test_many_copies_are_spread_while_keys_are_assigned(spark, store):
+    copies = store.save("work", "rows", spark.range(9000).select(F.lit("x").alias("a")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = assign_keys(copies, ["a"], "sk", store, "t", small_rows=0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r.sk for r in keyed.collect()) == list(range(1, 9001))
+    placed = spark.read.parquet(store.path("work", "t_placed"))
+    part = F.shiftright("_pos", 33)
+    assert max(r["count"] for r in placed.groupBy(part).count().collect()) < 6000
+
+
 def test_optional_lookup_keeps_every_row(spark):
     rows = [(i, None if i % 3 == 0 else f"k{i % 5}") for i in range(60)]
     facts = spark.createDataFrame(rows, "id int, k string")
