@@ -52,6 +52,10 @@ DAYS_SPAN = """
   FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)
 """
 
+# Units of the invoice currency that buy one dollar.
+UNITS = """nullif(CASE i.moneda WHEN 'BS' THEN c.tasa_bs_usd WHEN 'COP' THEN c.cop_por_usd
+      ELSE CAST(1 AS DOUBLE) END, 0)"""
+
 # Common table expressions in dependency order.
 CTES: dict[str, str] = {
     "days": f"""
@@ -191,7 +195,7 @@ CTES: dict[str, str] = {
     "sales": f"""
   SELECT c.sk_fecha, h.sk_hora, p.sk_producto, cu.sk_cliente, u.sk_usuario AS sk_empleado, m.sk_moneda,
     l.numero AS nro_factura, {whole("l.cantidad")} AS cantidad,
-    {money("l.precio / units")} AS precio_unit_usd, {money("l.subtotal / units")} AS subtotal_usd,
+    {money(f"l.precio / {UNITS}")} AS precio_unit_usd, {money(f"l.subtotal / {UNITS}")} AS subtotal_usd,
     c.fecha, c.dia_semana, c.es_fin_de_semana, c.es_feriado, c.nombre_feriado,
     i.moneda, cu.tipo, p.costo_usd, p.precio_venta_usd, p.codigo, p.descripcion, p.marca, p.categoria
   FROM raw_invoice_lines l
@@ -201,9 +205,7 @@ CTES: dict[str, str] = {
   JOIN currencies m ON m.codigo = i.moneda
   JOIN products p ON p.codigo = l.producto
   LEFT JOIN customers cu ON cu.documento = substr(i.cliente, 3)
-  LEFT JOIN users u ON u.username = i.usuario
-  CROSS JOIN LATERAL (SELECT nullif(CASE i.moneda WHEN 'BS' THEN c.tasa_bs_usd
-    WHEN 'COP' THEN c.cop_por_usd ELSE CAST(1 AS DOUBLE) END, 0) AS units)""",
+  LEFT JOIN users u ON u.username = i.usuario""",
     "purchases": f"""
   SELECT l.numero, c.sk_fecha, p.sk_producto, s.sk_proveedor, {whole("l.cantidad")} AS cantidad,
     {money("l.costo")} AS cost_unt_usd, {money("l.subtotal")} AS subtotal_usd

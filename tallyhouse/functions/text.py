@@ -22,6 +22,12 @@ def capitalize_words(value: Column) -> Column:
     )
 
 
+def labelled(code: Column, labels: dict[str, str], default: Column) -> Column:
+    """The label of a code, or the default for a code without one."""
+    known = F.create_map(*[F.lit(text) for pair in labels.items() for text in pair])
+    return F.coalesce(F.try_element_at(known, code), default)
+
+
 def shorten(value: Column, length: int = 38) -> Column:
     """Cut long text to the given length, the last character being an ellipsis."""
     return F.when(F.length(value) <= length, value).otherwise(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.dates import iso_weekday
 from tallyhouse.functions.money import money
-from tallyhouse.functions.text import after_prefix, blank_to_null, capitalize_words
+from tallyhouse.functions.text import after_prefix, blank_to_null, capitalize_words, labelled
 from tallyhouse.operators.dedup import first_per_key
 
 # Placeholders and codes that belong to the data contract.
@@ -136,13 +136,11 @@ def movement_types(stg_movimientos_inventario: DataFrame) -> DataFrame:
         .select(F.col("tipo").alias("codigo"), reason("motivo").alias("motivo"))
         .distinct()
     )
-    name = F.when(F.lit(False), F.lit(""))
-    for code, label in MOVEMENT_NAMES.items():
-        name = name.when(F.col("codigo") == code, label)
+    spaced = F.replace("codigo", F.lit("_"), F.lit(" "))
     inbound = F.col("codigo").isin(*INBOUND_TYPES)
     return kinds.select(
         "codigo",
-        name.otherwise(capitalize_words(F.replace("codigo", F.lit("_"), F.lit(" ")))).alias("nombre"),
+        labelled(F.col("codigo"), MOVEMENT_NAMES, capitalize_words(spaced)).alias("nombre"),
         "motivo",
         F.when(inbound, "ENTRADA").otherwise("SALIDA").alias("efecto_stock"),
         F.when(inbound, 1).otherwise(-1).cast("smallint").alias("signo_stock"),

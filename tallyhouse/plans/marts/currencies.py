@@ -14,6 +14,7 @@ from tallyhouse.functions.money import (
     total,
 )
 from tallyhouse.functions.stats import correlation
+from tallyhouse.functions.text import labelled
 from tallyhouse.plans.marts.products import margin_columns
 from tallyhouse.plans.rollups import distinct_invoices
 
@@ -36,16 +37,14 @@ def currency_mix(sales_by_day: DataFrame, dim_moneda: DataFrame) -> DataFrame:
             total(F.col("ingreso")).alias("ingreso_usd"),
         )
     )
-    name = F.when(F.lit(False), F.lit(""))
-    for code, text in CURRENCY_NAMES.items():
-        name = name.when(F.col("moneda") == code, text)
+    code = F.col("moneda")
 
     def share(measure: str):
         return percent(F.col(measure), F.sum(measure).over(Window.partitionBy()))
 
     return mix.select(
         "moneda",
-        name.otherwise(F.col("moneda")).alias("moneda_nombre"),
+        labelled(code, CURRENCY_NAMES, code).alias("moneda_nombre"),
         "nro_facturas",
         "unidades_vendidas",
         "ingreso_usd",

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import fixed, percent, ratio, total
+from tallyhouse.functions.text import labelled
 from tallyhouse.operators.quantiles import quantile_per_group
 
 # Customer type codes and their labels.
@@ -38,13 +39,11 @@ def ticket_by_customer_type(invoices_by_type: DataFrame, store) -> DataFrame:
             "ticket_maximo_usd": (F.max, "ingreso"),
         },
     )
-    label = F.when(F.lit(False), F.lit(""))
-    for code, text in TYPE_LABELS.items():
-        label = label.when(F.col("codigo_tipo") == code, text)
+    label = labelled(F.col("codigo_tipo"), TYPE_LABELS, F.lit(UNKNOWN_LABEL))
     count, revenue = F.col("nro_facturas"), F.col("ingreso_total_usd")
     return segments.select(
         "codigo_tipo",
-        label.otherwise(UNKNOWN_LABEL).alias("tipo_cliente"),
+        label.alias("tipo_cliente"),
         "nro_facturas",
         "ingreso_total_usd",
         "unidades_vendidas",
