@@ -47,7 +47,7 @@ def test_assign_keys_are_dense_and_ordered(spark, store, rows, small_rows):
     keyed = assign_keys(stored, ["a", "b"], "sk", store, "t", small_rows).collect()
     by_key = sorted(keyed, key=lambda r: r.sk)
     assert [r.sk for r in by_key] == list(range(1, len(rows) + 1))
-    encoded = [tuple((v is None, v.encode() if isinstance(v, str) else v) for v in (r.a, r.b)) for r in by_key]
+    encoded = [last((r.a if r.a is None else r.a.encode(), r.b)) for r in by_key]
     assert encoded == sorted(encoded)
     assert Counter((r.a, r.b) for r in keyed) == Counter(rows)
 

@@ -69,7 +69,8 @@ def test_bad_values_fail_or_become_null(spark, tmp_path, store):
 @pytest.mark.parametrize("kind", ["json", "parquet", "orc"])
 def test_other_formats(spark, tmp_path, kind):
     path = str(tmp_path / f"detalle.{kind}")
-    df = spark.createDataFrame([("F1", "P1", 2.0, 1.5, 3.0)], ["Numero", "Product Codigo", "Cantidad", "Precio Unitario", "Subtotal"])
+    names = ["Numero", "Product Codigo", "Cantidad", "Precio Unitario", "Subtotal"]
+    df = spark.createDataFrame([("F1", "P1", 2.0, 1.5, 3.0)], names)
     df.write.format(kind).save(path)
     row = read_source(spark, SourceSpec(path, "stg_ventas_detalle", kind)).first()
     assert (row.numero, row.product_codigo, row.cantidad, row.subtotal) == ("F1", "P1", 2.0, 3.0)

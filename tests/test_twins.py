@@ -124,7 +124,8 @@ def test_query_on_skewed_tables(spark, skewed, name):
 
 def test_skew_is_there(skewed):
     folder, con = skewed
-    for column, table in (("l_orderkey", "lineitem"), ("l_partkey", "lineitem"), ("o_custkey", "orders")):
+    hot = {"l_orderkey": "lineitem", "l_partkey": "lineitem", "o_custkey": "orders"}
+    for column, table in hot.items():
         counts = Counter(v for (v,) in con.execute(f"SELECT {column} FROM {table}").fetchall())
         assert counts.most_common(1)[0][1] > counts.total() / 3
 
@@ -145,7 +146,9 @@ def test_invariants(spark):
     per_granularity = con.execute(
         "SELECT DISTINCT SUM(ingreso_usd) FROM evolution GROUP BY granularidad"
     ).fetchall()
-    per_level = con.execute("SELECT DISTINCT SUM(ingreso_usd), SUM(margen_usd) FROM margins GROUP BY nivel").fetchall()
+    per_level = con.execute(
+        "SELECT DISTINCT SUM(ingreso_usd), SUM(margen_usd) FROM margins GROUP BY nivel"
+    ).fetchall()
     assert len(per_granularity) == 1 and len(per_level) == 1
     assert per_granularity[0][0] == per_level[0][0]
     final = evolution.sort_values("periodo_inicio").groupby("granularidad").tail(1)
