@@ -8,15 +8,16 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle_sql as twins
 from checks.compare import TABLES, connect, difference
 from tallyhouse.plans.report import DATASETS
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = sorted(entry.oracle_sql())
+NAMES = sorted(twins.oracle_sql())
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.warehouse_queries()) == set(twins.oracle_sql())
 
 
 def skewed_tables(folder, seed):
