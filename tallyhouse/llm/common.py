@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import tallyhouse
 from tallyhouse.plans.store import shared_folder
 
 FILE, ROW = "__file", "__row"
@@ -29,6 +34,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, through Spark."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(tallyhouse.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tallyhouse-")) / "tallyhouse.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -49,6 +71,7 @@ def with_row_key(df: DataFrame) -> DataFrame:
     Rows that do not come straight from files are stored first. Repeated rows and
     repeated or null ids thus stay apart.
     """
+    ship_package(df.sparkSession)
     try:
         hidden = df.metadataColumn("_metadata")
         return df.select(
@@ -56,10 +79,8 @@ def with_row_key(df: DataFrame) -> DataFrame:
             F.xxhash64(hidden["file_path"]).alias(FILE),
             hidden["row_index"].alias(ROW),
         )
-    except Exception as error:  # noqa: BLE001  the frame has no file metadata
-        if "_metadata" not in str(error) and "row_index" not in str(error):
-            raise
-    return with_row_key(stored(df, "rows"))
+    except AnalysisException:  # the frame has no file metadata
+        return with_row_key(stored(df, "rows"))
 
 
 def numbered(

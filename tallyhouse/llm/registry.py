@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import packing, token_files
+from tallyhouse.llm import cuckoo, packing, simhash, token_files, vectors
 from tallyhouse.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +18,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    printed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", printed.alias("fingerprint"), "component_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.exact_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path)
@@ -30,7 +46,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op4_packing": op4_packing,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": cuckoo.SQL,
+    "op8_top_k": vectors.SQL,
+}
