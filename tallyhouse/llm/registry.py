@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import cuckoo, packing, simhash, token_files, vectors
+from tallyhouse.llm import cuckoo, mixing, packing, simhash, token_files, vectors
 from tallyhouse.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
 }
