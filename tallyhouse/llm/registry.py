@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import cuckoo, mixing, packing, simhash, token_files, vectors
+from tallyhouse.llm import cuckoo, language, mixing, packing, simhash, token_files, toxicity, vectors
 from tallyhouse.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_of(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_duplicates(_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -50,13 +54,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_tokens(spark, path))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.toxicity_of(docs, labels)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op4_packing": op4_packing,
+    "op5_language": op5_language,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": cuckoo.SQL,
