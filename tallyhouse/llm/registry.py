@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import cuckoo, language, mixing, packing, simhash, token_files, toxicity, vectors
+from tallyhouse.llm import (
+    cuckoo,
+    language,
+    mixing,
+    packing,
+    simhash,
+    threads,
+    token_files,
+    toxicity,
+    vectors,
+    warc,
+)
 from tallyhouse.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +35,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", printed.alias("fingerprint"), "component_id")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses_of(_table(spark, sf_dir, "pages")))
+
+
+def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threads.link_replies(threads.mailed(_table(spark, sf_dir, "conversations")))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -61,6 +80,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
+    "op3_quotes": op3_quotes,
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op6_exact_dedup": op6_exact_dedup,
@@ -70,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
+    "op3_quotes": threads.SQL,
     "op6_exact_dedup": cuckoo.SQL,
     "op8_top_k": vectors.SQL,
 }
