@@ -1,10 +1,51 @@
-"""A corpus through five operators: from raw documents to packed sequences."""
+"""A corpus through five operators: from raw documents to packed sequences.
+
+Each stage works on all that the one before kept; run() stores every stage's result in the
+shared folder and reads it back.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import cuckoo, mixing, packing, simhash, toxicity
+from tallyhouse.llm.common import FILE, ROW, stored, with_row_key
+
+#: The score from which a document counts as toxic.
+TOXIC = 0.5
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of docs whose row key is among the kept ones; texts are not sorted."""
+    keyed = with_row_key(docs)
+    return keyed.join(kept.hint("shuffle_hash"), [FILE, ROW], "left_semi").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below the threshold; null and empty texts are scored too."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.fit(docs, labels).score(docs, to="__score")
+    return scored.where(F.col("__score") < TOXIC).select(*docs.columns)
 
-from tallyhouse.llm import packing
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A to Z lower-cased) the row with the largest doc_id."""
+    found = cuckoo.exact_duplicates(docs)
+    return _only(docs, found.where("kept").select(FILE, ROW))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of linked fingerprints the row with the smallest doc_id."""
+    return _only(docs, simhash.keep_one(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: not at all, or up to three times."""
+    copies = mixing.mix(docs).where("copies > 0").select(FILE, ROW, "copies")
+    taken = with_row_key(docs).join(copies.hint("shuffle_hash"), [FILE, ROW])
+    times = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    return taken.withColumn("__copy", F.explode(times)).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +54,20 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("simhash", drop_near_copies),
+    ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
 
+# Fitted scores, fingerprints and token ids are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

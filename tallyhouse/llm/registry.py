@@ -79,6 +79,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_simhash": op1_simhash,
     "op2_warc": op2_warc,
     "op3_quotes": op3_quotes,
@@ -95,3 +96,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": cuckoo.SQL,
     "op8_top_k": vectors.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
