@@ -178,9 +178,9 @@ class ToxicityModel:
         self.features, self.trees, self.curve, self.constant = features, trees, curve, constant
 
     def _margin(self, docs: DataFrame, text_col: str) -> DataFrame:
-        rows = docs.withColumn("__x", array_to_vector(_features(self.features)(F.col(text_col))))
+        rows = docs.withColumn("__tox_x", array_to_vector(_features(self.features)(F.col(text_col))))
         out = self.trees.transform(rows)
-        return out.withColumn("__m", vector_to_array("__p")[1]).drop("__x", "__raw", "__p", "__y")
+        return out.withColumn("__tox_m", vector_to_array("__tox_p")[1]).drop("__tox_x", "__tox_raw", "__tox_p", "__tox_y")
 
     def score(self, docs: DataFrame, text_col: str = "text", to: str = "score") -> DataFrame:
         """docs with the column `to`: the probability that a text is toxic."""
@@ -191,9 +191,9 @@ class ToxicityModel:
         if self.curve is not None:
             rated = self.curve.transform(rated)
         else:
-            rated = rated.withColumn("__s", F.col("__m"))
-        value = F.least(F.greatest(F.col("__s"), F.lit(0.0)), F.lit(1.0))
-        return rated.withColumn(to, value).drop("__m", "__s")
+            rated = rated.withColumn("__tox_s", F.col("__tox_m"))
+        value = F.least(F.greatest(F.col("__tox_s"), F.lit(0.0)), F.lit(1.0))
+        return rated.withColumn(to, value).drop("__tox_m", "__tox_s")
 
 
 def fit(
@@ -251,20 +251,20 @@ def fit(
             calibrates.alias("calibrates"),
         ),
         "features",
-    ).withColumn("__x", array_to_vector("x"))
+    ).withColumn("__tox_x", array_to_vector("x"))
     booster = GBTClassifier(
-        featuresCol="__x", labelCol="toxic", predictionCol="__y", maxIter=trees, maxDepth=depth,
+        featuresCol="__tox_x", labelCol="toxic", predictionCol="__tox_y", maxIter=trees, maxDepth=depth,
         stepSize=0.2, minInstancesPerNode=3, seed=seed, maxMemoryInMB=64,
     )
-    booster.setProbabilityCol("__p").setRawPredictionCol("__raw")
+    booster.setProbabilityCol("__tox_p").setRawPredictionCol("__tox_raw")
     fitted = booster.fit(rows.where(~F.col("calibrates")))
     kept = rows.where("calibrates")
     both = kept.agg(F.countDistinct("toxic")).first()[0] == 2
     curve = None
     if both:
-        rated = fitted.transform(kept).select(vector_to_array("__p")[1].alias("__m"), "toxic")
+        rated = fitted.transform(kept).select(vector_to_array("__tox_p")[1].alias("__tox_m"), "toxic")
         curve = IsotonicRegression(
-            featuresCol="__m", labelCol="toxic", predictionCol="__s"
+            featuresCol="__tox_m", labelCol="toxic", predictionCol="__tox_s"
         ).fit(rated)
     return ToxicityModel(features, fitted, curve)
 

@@ -75,7 +75,8 @@ def digest(block: bytes) -> str:
 
 def plain_text(page: str) -> str:
     """The visible text of a page: one line per block, white space collapsed, no empty lines."""
-    shown = BREAKS.sub("\n", HIDDEN.sub(" ", page))
+    source = HIDDEN.sub(" ", page).replace("\n", " ").replace("\r", " ")
+    shown = BREAKS.sub("\n", source)
     shown = html.unescape(LOOSE.sub("", TAGS.sub("", shown)))
     lines = (" ".join(line.split()) for line in shown.split("\n"))
     return "\n".join(line for line in lines if line)
