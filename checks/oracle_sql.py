@@ -196,6 +196,7 @@ CTES: dict[str, str] = {
   SELECT c.sk_fecha, h.sk_hora, p.sk_producto, cu.sk_cliente, u.sk_usuario AS sk_empleado, m.sk_moneda,
     l.numero AS nro_factura, {whole("l.cantidad")} AS cantidad,
     {money(f"l.precio / {UNITS}")} AS precio_unit_usd, {money(f"l.subtotal / {UNITS}")} AS subtotal_usd,
+    l.precio / {UNITS} AS precio_origen, l.subtotal / {UNITS} AS subtotal_origen,
     c.fecha, c.dia_semana, c.es_fin_de_semana, c.es_feriado, c.nombre_feriado,
     i.moneda, cu.tipo, p.costo_usd, p.precio_venta_usd, p.codigo, p.descripcion, p.marca, p.categoria
   FROM raw_invoice_lines l
@@ -455,6 +456,20 @@ def quality_sql() -> str:
         rule(table, keys, "unico", repeated.format(keys=keys, source=tables[table]))
     for table, column in quality.NATURAL_KEYS.items():
         rule(table, column, "clave_repetida", repeated.format(keys=column, source=tables[table]))
+    # Numbers of n digits before the point, or whole numbers of 32 bits.
+    for table, column, source, value, limit in (
+        ("fact_ventas", "precio_unit_usd", "sales", "precio_origen", "999999999999.995"),
+        ("fact_ventas", "subtotal_usd", "sales", "subtotal_origen", "999999999999.995"),
+        ("stg_productos", "costo_usd", "raw_products", "costo", "9999999999.995"),
+        ("stg_productos", "precio_venta_usd", "raw_products", "precio", "9999999999.995"),
+        ("stg_ventas_detalle", "cantidad", "raw_invoice_lines", "cantidad", "2147483647.5"),
+        ("stg_compras_detalle", "cantidad", "raw_purchase_lines", "cantidad", "2147483647.5"),
+        ("stg_compras_detalle", "costo_unitario_usd", "raw_purchase_lines", "costo", "999999999999.995"),
+        ("stg_compras_detalle", "subtotal_usd", "raw_purchase_lines", "subtotal", "999999999999.995"),
+        ("stg_movimientos_inventario", "cantidad", "raw_moves", "cantidad", "2147483647.5"),
+        ("stg_movimientos_inventario", "stock_nuevo", "raw_moves", "stock", "2147483647.5"),
+    ):
+        rule(table, column, "precision", f"{source} WHERE abs({value}) >= {limit}")
     day = "CAST(r.fecha_hora AS DATE)"
     for table, column, source, key, parents, parent_key, given in (
         ("stg_ventas_detalle", "numero", "raw_invoice_lines", "r.numero", "raw_invoices", "numero", ""),
@@ -487,7 +502,8 @@ ORACLE: dict[str, str] = {
     "stg_drop_empty_rows": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'",
     "stg_audit_columns": "SELECT o_orderkey, 'orders.parquet' AS etl_source_file, TRUE AS stamped FROM orders",
     "stg_safe_casts": """SELECT l_orderkey, l_linenumber, l_partkey,
-        TRY_CAST(CASE l_returnflag WHEN 'N' THEN 'n/d ' ELSE '' END || l_linenumber AS DOUBLE) AS numero,
+        CASE WHEN l_returnflag <> 'N' AND (l_returnflag <> 'R' OR l_linenumber NOT IN (1, 2, 3))
+          THEN CAST(l_linenumber AS DOUBLE) * CASE WHEN l_returnflag = 'R' AND l_linenumber = 4 THEN 100 ELSE 1 END END AS numero,
         CAST(TRY_CAST(CASE l_returnflag WHEN 'A' THEN strftime(l_shipdate, '%d/%m/%Y') ELSE strftime(l_shipdate, '%Y-%m-%d') END AS TIMESTAMP) AS DATE) AS dia
         FROM lineitem""",
     "stg_null_tokens": "SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segmento FROM customer",

@@ -1,6 +1,6 @@
 """Rebuild the warehouse from a folder of input files.
 
-    python -m tallyhouse INPUT ROOT [--format csv] [--strict] [--report]
+    python -m tallyhouse INPUT ROOT [--format csv] [--lenient] [--report]
 """
 
 import argparse
@@ -21,17 +21,17 @@ def main(arguments: Sequence[str] | None = None) -> Warehouse:
     parser.add_argument("root", help="folder for the staging, core, marts and report tables")
     parser.add_argument("--format", default="csv", choices=["csv", "json", "parquet", "orc"])
     parser.add_argument("--safe-casts", action="store_true", help="NULL for values of a wrong type")
-    parser.add_argument("--strict", action="store_true", help="stop when a constraint is broken")
+    parser.add_argument("--lenient", action="store_true", help="only report broken constraints")
     parser.add_argument("--report", action="store_true", help="also store the report sets")
     options = parser.parse_args(arguments)
 
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
+    logging.basicConfig(level=logging.INFO, format="{asctime} {levelname:<7} {message} ({name})", style="{")
     spark = SparkSession.builder.appName("tallyhouse").getOrCreate()
     warehouse = run_pipeline(
         spark,
         folder_manifest(options.input, options.format),
         options.root,
-        on_violation="fail" if options.strict else "report",
+        on_violation="report" if options.lenient else "fail",
         safe_casts=options.safe_casts,
     )
     if options.report:

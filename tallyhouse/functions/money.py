@@ -20,6 +20,11 @@ def whole(value: Column) -> Column:
     return F.rint(value).try_cast("int")
 
 
+def overflows(value: Column, fitted: Column) -> Column:
+    """True where a number is given but does not fit its column."""
+    return value.isNotNull() & ~F.isnan(value) & fitted.isNull()
+
+
 def total(value: Column | str) -> Column:
     """Sum of amounts, kept at a precision that can be summed again."""
     return F.sum(value).cast(TOTAL)

@@ -6,34 +6,20 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id keeps the partition number above bit 33.
 ROW_BITS = 33
 ROW_MASK = (1 << ROW_BITS) - 1
-# Up to this many rows one sorted task is cheaper than the distributed path.
-SMALL_ROWS = 20_000
 
 
-def assign_keys(
-    rows: DataFrame,
-    order_by: list[str],
-    key: str,
-    store,
-    name: str,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def assign_keys(rows: DataFrame, order_by: list[str], key: str, store, name: str) -> DataFrame:
     """Number the rows 1..n in the given order (NULLs last).
 
     rows has to read a stored table without a shuffle in between, so that it can
-    be read twice alike. A few rows are numbered in one sorted task. Otherwise
-    they are range-partitioned and sorted once and written, so that both the
-    per-partition counts and the numbered rows come from the same stored rows
-    even if an executor is lost in between. The offsets have one row per
-    partition, which bounds what is broadcast. Rows that are equal in every
-    ordering column may be many; their position in the input spreads them.
+    be read twice alike. Rows are range-partitioned and sorted once and written,
+    so that both the per-partition counts and the numbered rows come from the
+    same stored rows even if an executor is lost in between. The offsets have one
+    row per partition, which bounds what is broadcast. Rows that are equal in
+    every ordering column may be many; their position in the input spreads them.
     """
     ordering = [F.asc_nulls_last(c) for c in order_by]
-    if rows.count() <= small_rows:
-        place = F.row_number().over(Window.orderBy(*ordering)).cast("bigint")
-        return rows.select(place.alias(key), *rows.columns)
-    placed = store.save(
-        "work",
+    placed = store.keep(
         f"{name}_placed",
         rows.withColumn("_copy", F.monotonically_increasing_id())
         .repartitionByRange(*ordering, "_copy")

@@ -34,8 +34,7 @@ def quantile_per_group(
     summaries = summaries or {}
     cents = df.withColumn("_cents", (F.col(value) * 100).cast("bigint"))
     cents = cents.withColumn("_slice", F.shiftright("_cents", SLICE_BITS))
-    slices = store.save(
-        "work",
+    slices = store.keep(
         f"{name}_slices",
         cents.groupBy(group, "_slice").agg(
             F.count("_cents").alias("_rows"),

@@ -5,50 +5,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows one sorted task is cheaper than the distributed path.
-SMALL_ROWS = 1_000_000
-# Width, in bits, of the value slices that the distributed rank counts by.
+# Width, in bits, of the value slices that the ranks are counted by.
 SLICES = (40, 20, 0)
 
 
-def top_by_any(
-    df: DataFrame,
-    ranks: dict[str, str],
-    k: int,
-    rows: int,
-    store,
-    name: str,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def top_by_any(df: DataFrame, ranks: dict[str, str], k: int, store, name: str) -> DataFrame:
     """Keep rows whose rank by any measure is at most k; ties are all kept.
 
-    ranks maps a rank column to an integer or two-decimal measure. rows is the
-    known size of df. Large input never goes through one sorted partition: the
-    k-th best value of each measure selects the candidates, which are written so
-    that their size is known, and their ranks are counted by value slices.
+    ranks maps a rank column to an integer or two-decimal measure. NULL is the
+    largest value, as everywhere: rows without a measure share its first place.
+    The input never goes through one sorted partition: the k-th best value of
+    each measure selects the candidates, which are stored so that their size is
+    known, and their ranks are counted by value slices.
     """
-    if rows <= small_rows:
-        for rank, measure in ranks.items():
-            place = F.rank().over(Window.orderBy(F.col(measure).desc()))
-            df = df.withColumn(rank, place.cast("bigint"))
-        return df.where(reduce(Column.__or__, [F.col(r) <= k for r in ranks]))
 
-    def kth(measure: str) -> Column:
-        best = df.select(measure).orderBy(F.col(measure).desc()).limit(k)
-        return best.agg(F.min(measure)).scalar()
+    def among_best(measure: str) -> Column:
+        best = df.select(measure).orderBy(F.col(measure).desc_nulls_first()).limit(k)
+        least = best.agg(F.min(measure)).scalar()
+        return F.col(measure).isNull() | F.coalesce(F.col(measure) >= least, F.lit(False))
 
-    chosen = store.save(
-        "work",
-        f"{name}_chosen",
-        df.where(reduce(Column.__or__, [F.col(m) >= kth(m) for m in ranks.values()])),
+    chosen = store.keep(
+        f"{name}_chosen", df.where(reduce(Column.__or__, [among_best(m) for m in ranks.values()]))
     )
     for rank, measure in ranks.items():
         chosen = _add_rank(chosen, df, measure, rank)
-    return chosen
+    # A row may be a candidate where NULLs alone fill the first k places.
+    return chosen.where(reduce(Column.__or__, [F.col(r) <= k for r in ranks]))
 
 
 def _add_rank(chosen: DataFrame, everyone: DataFrame, measure: str, rank: str) -> DataFrame:
-    """rank = 1 + number of rows of everyone with a greater measure.
+    """rank = 1 + number of rows of everyone with a greater measure, NULL the greatest.
 
     Greater rows are counted slice by slice: those in a higher top slice, those
     in the same top slice but a higher middle slice, and so on. Every window
@@ -59,15 +45,18 @@ def _add_rank(chosen: DataFrame, everyone: DataFrame, measure: str, rank: str) -
     def slice_of(bits: int) -> Column:
         return F.shiftright((F.col(measure) * 100).cast("bigint"), bits)
 
-    ranked = chosen.withColumn(rank, F.lit(1).cast("bigint"))
+    known = everyone.where(F.col(measure).isNotNull())
+    nulls = everyone.agg(F.count_if(F.col(measure).isNull())).scalar()
+    first = F.when(F.col(measure).isNull(), F.lit(1)).otherwise(nulls + 1)
+    ranked = chosen.withColumn(rank, first.cast("bigint"))
     outer = None
     for bits in SLICES:
         inner = slice_of(bits).alias("_slice")
         if outer is None:
-            pool = everyone.select(F.lit(0).alias("_outer"), inner)
+            pool = known.select(F.lit(0).alias("_outer"), inner)
         else:
             wanted = chosen.select(slice_of(outer).alias("_outer")).distinct()
-            pool = everyone.select(slice_of(outer).alias("_outer"), inner).join(
+            pool = known.select(slice_of(outer).alias("_outer"), inner).join(
                 wanted, "_outer", "left_semi"
             )
         counts = pool.groupBy("_outer", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
@@ -77,9 +66,10 @@ def _add_rank(chosen: DataFrame, everyone: DataFrame, measure: str, rank: str) -
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         counts = counts.select("_slice", F.sum("_rows").over(above).alias("_above"))
+        # A row without the measure has no slice and keeps the first place.
         ranked = (
             ranked.withColumn("_slice", slice_of(bits))
-            .join(counts, "_slice")
+            .join(counts, "_slice", "left")
             .withColumn(rank, F.col(rank) + F.coalesce("_above", F.lit(0)))
             .drop("_slice", "_above")
         )

@@ -8,7 +8,7 @@ that no mart has to join a large dimension to the lines again.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.money import money, whole
+from tallyhouse.functions.money import money, overflows, whole
 from tallyhouse.functions.text import after_prefix
 from tallyhouse.operators.joins import optional_lookup
 from tallyhouse.plans.dims import reason
@@ -58,6 +58,10 @@ FACT_LINES = {
 }
 
 
+# Columns of sale_lines that mark a converted amount too large for its column.
+OVERFLOWS = {"precio_unit_usd": "precio_desborda", "subtotal_usd": "subtotal_desborda"}
+
+
 def _calendar_keys(dim_tiempo: DataFrame, *extra: str) -> DataFrame:
     return dim_tiempo.select("fecha", "sk_fecha", *extra)
 
@@ -141,7 +145,7 @@ def sale_lines(
     user = dim_usuarios.select("username", F.col("sk_usuario").alias("sk_empleado"))
     header = optional_lookup(header, customer, "cliente", "documento", spread_by="numero")
     header = optional_lookup(header, user, "usuario", "username", spread_by="numero")
-    # Units of the invoice currency that buy one dollar that day.
+    # Amounts are divided by this; a currency without a rate column is taken as dollars.
     rate = (
         F.when(F.col("moneda") == "COP", F.col("cop_por_usd"))
         .when(F.col("moneda") == "BS", F.col("tasa_bs_usd"))
@@ -159,6 +163,8 @@ def sale_lines(
         F.nullif(rate, F.lit(0.0)).alias("rate"),
     )
     product = _product_keys(dim_producto, "costo_usd", "precio_venta_usd")
+    price = F.col("precio_unitario") / F.col("rate")
+    subtotal = F.col("subtotal") / F.col("rate")
     lines = stg_ventas_detalle.join(product, "product_codigo")
     return _with_header(lines, header).select(
         "fecha",
@@ -170,8 +176,10 @@ def sale_lines(
         "sk_moneda",
         F.col("numero").alias("nro_factura"),
         whole(F.col("cantidad")).alias("cantidad"),
-        money(F.col("precio_unitario") / F.col("rate")).alias("precio_unit_usd"),
-        money(F.col("subtotal") / F.col("rate")).alias("subtotal_usd"),
+        money(price).alias("precio_unit_usd"),
+        money(subtotal).alias("subtotal_usd"),
+        overflows(price, money(price)).alias(OVERFLOWS["precio_unit_usd"]),
+        overflows(subtotal, money(subtotal)).alias(OVERFLOWS["subtotal_usd"]),
         "tipo",
         "costo_usd",
         "precio_venta_usd",

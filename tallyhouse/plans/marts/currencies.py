@@ -79,7 +79,7 @@ def currency_mix_monthly(
 
 
 def _monthly_rates(dim_tiempo: DataFrame) -> DataFrame:
-    """Rates over the whole calendar of a month, not weighted by sales."""
+    """Mean and range of the rates of all days that the calendar has of a month."""
     return dim_tiempo.groupBy(month_start("fecha").alias("mes_inicio")).agg(
         fixed(F.avg("tasa_bs_usd"), 4).alias("tasa_bs_usd_prom"),
         fixed(F.min("tasa_bs_usd"), 4).alias("tasa_bs_usd_min"),

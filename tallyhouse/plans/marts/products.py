@@ -27,7 +27,6 @@ def product_totals(sales_by_product: DataFrame, dim_producto: DataFrame) -> Data
 
 def top_products(
     product_totals: DataFrame,
-    rows: int,
     sale_lines: DataFrame,
     dim_producto: DataFrame,
     store,
@@ -41,14 +40,11 @@ def top_products(
         "ranking_por_cantidad": "unidades_vendidas",
         "ranking_por_monto": "monto_vendido_usd",
     }
-    kept = store.save(
-        "work",
-        "top_products",
-        top_by_any(product_totals, ranks, TOP, rows, store, "top_products"),
+    kept = store.keep(
+        "top_products", top_by_any(product_totals, ranks, TOP, store, "top_products")
     )
     same_product = [F.col(f"k.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ATTRIBUTES]
-    keys = store.save(
-        "work",
+    keys = store.keep(
         "top_product_keys",
         dim_producto.alias("d").join(kept.alias("k"), same_product).select("d.sk_producto", "k.*"),
     )

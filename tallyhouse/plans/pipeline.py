@@ -49,16 +49,18 @@ def run_pipeline(
     specs: Iterable[SourceSpec],
     root: str,
     publish: bool = True,
-    on_violation: str = "report",
+    on_violation: str = "fail",
     safe_casts: bool = False,
     threads: int = 4,
 ) -> Warehouse:
     """Rebuild the warehouse under root and return it.
 
-    Tables are replaced, so a second run with the same input leaves the same
-    tables. With publish they are also registered as staging.*, core.* and
-    marts.* for SQL. on_violation="fail" stops before the marts when a declared
-    constraint is broken; "report" only logs the counts.
+    Tables are replaced one by one, each when its new version is complete, so a
+    run that fails leaves what it has not replaced, and a second run with the same
+    input leaves the same tables. With publish they are also registered as
+    staging.*, core.* and marts.* for SQL. on_violation="fail" stops before the
+    marts when a declared constraint is broken; "report" only logs the counts. A
+    run that ends drops earlier versions and tables that it no longer has.
     """
     if on_violation not in ("report", "fail"):
         raise ValueError("on_violation is 'report' or 'fail'")
@@ -75,6 +77,11 @@ def run_pipeline(
         if publish and layer != "work":
             for name in names:
                 store.publish(layer, name, warehouse[name])
+    layers: dict[str, set[str]] = {"staging": set(staging)}
+    for layer, names in STAGES:
+        layers.setdefault(layer, set()).update(names)
+    layers["work"].add("quality_checks")
+    store.prune(layers, publish)
     return warehouse
 
 

@@ -4,14 +4,16 @@ Nothing is rejected here: every rule yields one row with the number of rows (or
 keys) that break it, so that a rule with zero is visible too.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.money import money, overflows, whole
 from tallyhouse.functions.text import after_prefix
 from tallyhouse.operators.joins import optional_lookup
 from tallyhouse.plans.dims import reason
+from tallyhouse.plans.facts import OVERFLOWS
 
 # Mandatory columns, code domains and text lengths of the schema.
 NOT_NULL = {
@@ -65,12 +67,27 @@ FACT_NAMES = {
     "movement_lines": "fact_mov_inventario",
 }
 # Rules that stop a load in a database with declared constraints.
-STRICT_RULES = ("no_nulo", "dominio", "longitud", "unico")
+STRICT_RULES = ("no_nulo", "dominio", "longitud", "unico", "precision")
+# Values that become NULL because they do not fit their column, told apart from missing ones.
+PRECISION: dict[str, dict[str, Callable[[Column], Column]]] = {
+    "stg_productos": {
+        "costo_usd": lambda c: money(c, 12),
+        "precio_venta_usd": lambda c: money(c, 12),
+    },
+    "stg_ventas_detalle": {"cantidad": whole},
+    "stg_compras_detalle": {"cantidad": whole, "costo_unitario_usd": money, "subtotal_usd": money},
+    "stg_movimientos_inventario": {"cantidad": whole, "stock_nuevo": whole},
+}
 
 
 def quality_checks(warehouse) -> DataFrame:
     """tabla, columna, regla and the number of rows or keys that break the rule."""
-    results = [*_column_rules(warehouse), *_key_rules(warehouse), *_reference_rules(warehouse)]
+    results = [
+        *_column_rules(warehouse),
+        *_key_rules(warehouse),
+        *_precision_rules(warehouse),
+        *_reference_rules(warehouse),
+    ]
     return _union(results)
 
 
@@ -90,6 +107,8 @@ def _column_rules(warehouse) -> Iterator[DataFrame]:
             rules[c, "dominio"] = ~F.col(c).isin(allowed)
         for c, length in MAX_LENGTH.get(table, {}).items():
             rules[c, "longitud"] = F.length(c) > length
+        for c, flag in OVERFLOWS.items() if table == "sale_lines" else ():
+            rules[c, "precision"] = F.col(flag)
         yield _counts(warehouse[table], FACT_NAMES.get(table, table), rules)
 
 
@@ -115,6 +134,13 @@ def _key_rules(warehouse) -> Iterator[DataFrame]:
         yield _one_row(repeated, table, ", ".join(columns), rule)
 
 
+def _precision_rules(warehouse) -> Iterator[DataFrame]:
+    """Numbers that are there but do not fit; amounts of sales are checked after conversion."""
+    for table, columns in PRECISION.items():
+        rules = {(c, "precision"): overflows(F.col(c), fit(F.col(c))) for c, fit in columns.items()}
+        yield _counts(warehouse[table], table, rules)
+
+
 def _reference_rules(warehouse) -> Iterator[DataFrame]:
     """Staging rows that find no partner: dropped by inner joins, NULL in outer ones.
 

@@ -22,9 +22,9 @@ COUNTED = {
     "dim_proveedor": "dim_proveedor",
     "dim_usuarios": "dim_usuarios",
     "dim_tiempo": "dim_tiempo",
-    "fact_ventas": "sale_lines",
-    "fact_compras": "purchase_lines",
-    "fact_mov_inventario": "movement_lines",
+    "fact_ventas": "fact_ventas",
+    "fact_compras": "fact_compras",
+    "fact_mov_inventario": "fact_mov_inventario",
 }
 
 
@@ -480,8 +480,16 @@ DATASETS = {
     )
 }
 
-# Plain reads of a mart: name of the set, mart, order; a leading minus sorts descending.
+# Plain reads of a mart: name of the set, mart, order. A leading minus sorts descending, with
+# NULLs last if a question mark follows; a leading exclamation mark sorts missing values first.
 READS = {
+    "p1_orden": ("p01_top_productos", ["ranking_por_cantidad", "ranking_por_monto", "codigo"]),
+    "p4_orden": ("p04_margen", ["nivel", "-margen_usd"]),
+    "p6_orden": (
+        "p06_inventario_muerto",
+        ["!fecha_ultima_venta", "-dias_sin_vender?", "-capital_inmovilizado_usd", "codigo"],
+    ),
+    "p13_orden": ("p13_evolucion_ventas", ["granularidad", "periodo_inicio"]),
     "p6_resumen": ("p06_inventario_muerto_resumen", ["-capital_inmovilizado_usd"]),
     "p15_dia": ("p15_ventas_por_dia_semana", ["dia_semana"]),
     "p15_tipo": ("p15_ventas_feriado_vs_normal", ["-ingreso_prom_por_dia_usd"]),
@@ -496,7 +504,11 @@ READS = {
 
 
 def _order(name: str) -> Column:
-    """NULLs sort as the largest value, in either direction."""
+    """NULLs sort as the largest value, in either direction, unless the order says otherwise."""
+    if name.startswith("!"):
+        return F.col(name[1:]).isNull().desc()
+    if name.endswith("?"):
+        return F.col(name[1:-1]).desc_nulls_last()
     if name.startswith("-"):
         return F.col(name[1:]).desc_nulls_first()
     return F.col(name).asc_nulls_last()

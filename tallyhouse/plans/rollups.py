@@ -1,21 +1,33 @@
 """Shared aggregates. Each reads a line table once; the marts read only these.
 
 Counting distinct invoices is the one measure that is not additive. Nearly every
-invoice has a single row after sales_by_invoice, and those can simply be counted.
-The few that span several days, currencies or customer types (duplicate holidays,
-colliding customer documents) are marked and counted exactly.
+invoice lies on one day in one currency and is simply counted, once, even if it has
+several customer types (colliding customer documents). The few that span several
+days or currencies (duplicate holidays) are marked and counted exactly.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import TOTAL, total
 
+DAY = ["sk_fecha", "sk_moneda"]
 MEASURES = ["lineas", "unidades", "ingreso", "costo", "lista"]
 
 
+# A stock as a positive number below the span; 0 stands for NULL, the smallest.
+STOCK_SHIFT, STOCK_SPAN = (1 << 31) + 1, 1 << 33
+PACKED, EPOCH = "decimal(19,0)", "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
 def sales_by_invoice(sale_lines: DataFrame) -> DataFrame:
-    """One row per invoice, day, currency and customer type."""
+    """One row per invoice, day, currency and customer type.
+
+    `repetida` marks invoices that span several days or currencies; of any other
+    invoice one row has 1 in `cuenta`.
+    """
     quantity = F.col("cantidad")
     merged = sale_lines.groupBy("nro_factura", "sk_fecha", "sk_moneda", "tipo").agg(
         F.count(F.lit(1)).alias("lineas"),
@@ -25,7 +37,13 @@ def sales_by_invoice(sale_lines: DataFrame) -> DataFrame:
         total(quantity * F.col("precio_venta_usd")).alias("lista"),
     )
     same_invoice = Window.partitionBy("nro_factura")
-    return merged.withColumn("repetida", F.count(F.lit(1)).over(same_invoice) > 1)
+    several = reduce(
+        Column.__or__,
+        [F.min(c).over(same_invoice) != F.max(c).over(same_invoice) for c in DAY],
+    )
+    place = F.row_number().over(same_invoice.orderBy(F.col("tipo").asc_nulls_last()))
+    marked = merged.withColumn("repetida", several)
+    return marked.withColumn("cuenta", ((place == 1) & ~F.col("repetida")).cast("int"))
 
 
 def sales_by_day(sales_by_invoice: DataFrame) -> DataFrame:
@@ -37,7 +55,7 @@ def sales_by_day(sales_by_invoice: DataFrame) -> DataFrame:
     sums |= {m: total(F.col(m)) for m in ("ingreso", "costo", "lista")}
     days = sales_by_invoice.groupBy("sk_fecha", "sk_moneda").agg(
         *[column.alias(m) for m, column in sums.items()],
-        F.count_if(~F.col("repetida")).alias("facturas"),
+        F.sum("cuenta").alias("facturas"),
         F.lit(None).cast("string").alias("nro_repetida"),
     )
     repeated = sales_by_invoice.where("repetida").select("sk_fecha", "sk_moneda", "nro_factura")
@@ -87,15 +105,33 @@ def sales_by_product(sale_lines: DataFrame) -> DataFrame:
 
 
 def stock_by_product(movement_lines: DataFrame) -> DataFrame:
-    """Stock after the latest movement; of simultaneous movements the higher stock."""
-    latest = F.max(F.struct("fecha_hora", "stock_resultante"))
+    """Stock after the latest movement; of simultaneous movements the higher stock.
+
+    Time and stock are packed into one number that sorts like the pair, so that the
+    maximum is found by hashing: no task sorts its movements.
+    """
+    since = F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, CAST(fecha_hora AS TIMESTAMP_NTZ))")
+    stock = F.coalesce(F.col("stock_resultante").cast("bigint") + STOCK_SHIFT, F.lit(0))
+    packed = since.cast(PACKED) * F.lit(STOCK_SPAN).cast(PACKED) + stock.cast(PACKED)
+    latest = movement_lines.groupBy("sk_producto").agg(
+        F.max(packed.cast("decimal(38,0)")).alias("latest"),
+        F.min("fecha").alias("primer_movimiento"),
+    )
+    low = F.pmod(F.col("latest"), F.lit(STOCK_SPAN).cast("decimal(38,0)"))
+    moment = ((F.col("latest") - low) / F.lit(STOCK_SPAN)).cast("bigint")
     return (
-        movement_lines.groupBy("sk_producto")
-        .agg(latest.alias("latest"), F.min("fecha").alias("primer_movimiento"))
+        latest.withColumn("low", low.cast("bigint"))
+        .withColumn("moment", moment)
+        .select(
+            "sk_producto",
+            "primer_movimiento",
+            F.to_date(F.expr(f"timestampadd(MICROSECOND, moment, {EPOCH})")).alias("ultimo_movimiento"),
+            F.nullif("low", F.lit(0).cast("bigint")).alias("low"),
+        )
         .select(
             "sk_producto",
             "primer_movimiento",
-            F.to_date("latest.fecha_hora").alias("ultimo_movimiento"),
-            F.col("latest.stock_resultante").alias("stock"),
+            "ultimo_movimiento",
+            (F.col("low") - STOCK_SHIFT).cast("int").alias("stock"),
         )
     )

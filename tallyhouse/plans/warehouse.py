@@ -66,7 +66,6 @@ ROLLUPS: dict[str, tuple[Callable, list[str]]] = {
 MARTS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "p01_top_productos": lambda w: products.top_products(
         w["product_totals"],
-        w["product_totals"].count(),
         w["sale_lines"],
         w["dim_producto"],
         w.store,
@@ -149,9 +148,13 @@ class Warehouse:
         return assign_keys(needed, order, key, self.store, name).select(key, *columns)
 
     def _stored(self, name: str) -> DataFrame:
+        with self.store.temporary():
+            return self._build(name)
+
+    def _build(self, name: str) -> DataFrame:
         if name in DIMS:
             key, order = dims.KEYS[name]
-            rows = self.store.save("work", f"{name}_rows", self.dimension(name))
+            rows = self.store.keep(f"{name}_rows", self.dimension(name))
             keyed = assign_keys(rows, order, key, self.store, name)
             return self.store.save("core", name, keyed.drop("hora_desc"))
         if name in facts.FACT_LINES:

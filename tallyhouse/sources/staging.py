@@ -12,6 +12,9 @@ from tallyhouse.sources.specs import SourceSpec
 
 log = logging.getLogger(__name__)
 
+# A decimal number as text, with or without an exponent.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 class StagingError(RuntimeError):
     """Some sources failed; the others were loaded."""
@@ -47,8 +50,8 @@ def to_timestamp_safe(value: Column) -> Column:
 
 
 def to_number_safe(value: Column) -> Column:
-    """NULL where the text is not a number."""
-    return value.try_cast("double")
+    """NULL where the text is not a decimal number."""
+    return F.when(value.cast("string").rlike(NUMBER), value.try_cast("double"))
 
 
 def blank_tokens(df: DataFrame, tokens: Iterable[str]) -> DataFrame:
@@ -71,28 +74,53 @@ def apply_schema(df: DataFrame, schema: str, safe: bool) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     types = {f.name: f.dataType for f in declared}
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
 
     def typed(name: str) -> Column:
         if name not in types:
             return F.col(name)
         column = F.col(name)
-        return (column.try_cast if safe else column.cast)(types[name]).alias(name)
+        cast = (column.try_cast if safe else column.cast)(types[name])
+        if name in texts and isinstance(types[name], T.NumericType):
+            # A cast alone also reads suffixes and hexadecimal digits as numbers.
+            message = F.concat(F.lit(f"{name} is not a number: "), column)
+            wrong = F.lit(None) if safe else F.raise_error(message)
+            cast = F.when(column.isNull() | column.rlike(NUMBER), cast).otherwise(wrong)
+        return cast.alias(name)
 
     return df.select(*[typed(c) for c in df.columns])
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, safe: bool = False) -> DataFrame:
-    """One source, cleaned and typed. Text files are read as text: one pass, no inference."""
+    """One source, cleaned and typed. Text files are read as text: one pass, no inference.
+
+    The files of a csv folder must agree on their header, and every row on the number
+    of cells; otherwise the load fails and says where. JSON lines are taken by their
+    keys; only a source that declares no columns is read once more to learn them.
+    """
     reader = spark.read.format(spec.format)
     if spec.format == "csv":
-        reader = reader.options(header=True, inferSchema=False)
+        reader = reader.options(header=True, inferSchema=False, enforceSchema=False, mode="FAILFAST")
     if spec.format == "json":
-        reader = reader.options(primitivesAsString=True)
-    raw = reader.options(**spec.options).load(spec.path)
+        if spec.schema and not spec.options:
+            raw = _json_lines(spark, spec)
+        else:
+            raw = reader.options(primitivesAsString=True, **spec.options).load(spec.path)
+    else:
+        raw = reader.options(**spec.options).load(spec.path)
     cleaned = drop_empty_rows(blank_tokens(normalize_columns(raw), spec.null_tokens))
     return add_audit_columns(apply_schema(cleaned, spec.schema, safe), spec.file_name)
 
 
+def _json_lines(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """Declared columns of JSON lines, found by their normalized keys."""
+    names = [f.name for f in T.StructType.fromDDL(spec.schema)]
+    cells = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    tidy = F.transform_keys(cells, lambda k, _: F.replace(F.lower(F.trim(k)), F.lit(" "), F.lit("_")))
+    lines = spark.read.text(spec.path).where(F.trim("value") != "").select(tidy.alias("cells"))
+    return lines.select(*[F.col("cells")[name].alias(name) for name in names])
+
+
 def load_staging(
     spark: SparkSession, specs: Iterable[SourceSpec], store, safe: bool = False
 ) -> dict[str, DataFrame]:

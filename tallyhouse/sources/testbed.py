@@ -49,6 +49,10 @@ def _holidays(calendar: DataFrame) -> DataFrame:
     )
 
 
+#: The tables that staging() reads.
+TABLES = ("customer", "lineitem", "nation", "orders", "part", "supplier")
+
+
 def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -38,7 +38,7 @@ def snapshot(df):
 def test_run_publish_and_rerun(spark, inputs, tmp_path):
     root = str(tmp_path / "wh")
     specs = folder_manifest(inputs, "csv")
-    run_pipeline(spark, specs, root)
+    run_pipeline(spark, specs, root, on_violation="report")
     names = (
         [f"staging.{t}" for t in SCHEMAS]
         + [f"core.{t}" for t in (*DIMS, *FACT_LINES)]
@@ -47,15 +47,20 @@ def test_run_publish_and_rerun(spark, inputs, tmp_path):
     first = {name: snapshot(spark.table(name)) for name in names}
     assert all(rows > 0 for name, (_, rows) in first.items())
 
-    again = main([inputs, root, "--report"])
+    spark.sql("CREATE TABLE marts.p99_gone USING parquet AS SELECT 1 AS x")
+    again = main([inputs, root, "--report", "--lenient"])
     assert {name: snapshot(spark.table(name)) for name in names} == first
 
+    # Tables that are no longer made are gone, and so are earlier versions.
+    assert not spark.catalog.tableExists("marts.p99_gone")
+    assert all(len(list((tmp_path / "wh" / "marts" / m).iterdir())) == 1 for m in MARTS)
+
     # Reading the CSV copy gives the same warehouse as the tables themselves.
     direct = Warehouse(staging(spark, "/root/testdata/sf0.001"), Store.scratch(spark))
     for mart in ("p04_margen", "p18_mix_monedas", "p19_tipo_cambio_mensual"):
         assert snapshot(direct[mart]) == snapshot(spark.table(f"marts.{mart}"))
 
-    stored = spark.read.parquet(f"{root}/report/currency_share_pivot")
+    stored = spark.read.parquet(again.store.path("report", "currency_share_pivot"))
     assert stored.columns == ["mes_inicio", "bs", "usd", "cop"] and stored.count() > 0
 
     sets = report_datasets(again)
@@ -81,11 +86,53 @@ def test_broken_constraint_stops_before_the_marts(spark, inputs, tmp_path):
         for s in folder_manifest(inputs, "csv")
     ]
     with pytest.raises(QualityError, match="dim_clientes.tipo dominio"):
-        run_pipeline(spark, specs, str(tmp_path / "wh"), publish=False, on_violation="fail")
+        run_pipeline(spark, specs, str(tmp_path / "wh"), publish=False)
     assert (tmp_path / "wh" / "core").exists()
     assert not (tmp_path / "wh" / "marts").exists()
 
 
+def test_a_failed_rebuild_leaves_the_old_table(spark, store):
+    old = store.save("core", "t", spark.range(9))
+    bad = spark.range(9).select(F.raise_error(F.concat(F.lit("no "), F.col("id"))).alias("id"))
+    with pytest.raises(Exception, match="no "):
+        store.save("core", "t", bad)
+    assert old.count() == 9
+    assert spark.read.parquet(store.path("core", "t")).count() == 9
+    # A store that is opened later finds the same version.
+    assert spark.read.parquet(Store(spark, store.root).path("core", "t")).count() == 9
+
+
+def test_kept_parts_go_when_the_table_is_stored(spark, store):
+    with store.temporary():
+        kept = store.keep("part", spark.range(5))
+        assert kept.count() == 5
+    assert store.files.names(f"{store.root}/work/_parts") == []
+
+
+def test_ordered_reads(spark):
+    import __spark_entry__ as entry
+
+    sets = report_datasets(entry.warehouse(spark, "/root/testdata/sf0.001"))
+    dead = sets["p6_orden"].collect()
+    keys = [
+        (
+            r.fecha_ultima_venta is not None,
+            r.dias_sin_vender is None,
+            -(r.dias_sin_vender or 0),
+            r.capital_inmovilizado_usd is not None,
+            -(r.capital_inmovilizado_usd or 0),
+        )
+        for r in dead
+    ]
+    assert keys == sorted(keys) and len({k[0] for k in keys}) == 2
+    levels = [(r.nivel, -r.margen_usd) for r in sets["p4_orden"].collect()]
+    assert levels == sorted(levels)
+    periods = [(r.granularidad, r.periodo_inicio) for r in sets["p13_orden"].collect()]
+    assert periods == sorted(periods)
+    best = [(r.ranking_por_cantidad, r.ranking_por_monto) for r in sets["p1_orden"].collect()]
+    assert best == sorted(best)
+
+
 class FakeSession:
     """Stands in for a session without a named folder."""
 

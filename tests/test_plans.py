@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tallyhouse.plans import rollups
@@ -77,6 +78,22 @@ def test_rollups_combine_before_the_shuffle(warehouse):
     assert "EqualTo(repetida,true)" in days
 
 
+def test_latest_stock_is_found_without_sorting(warehouse):
+    text = plan(rollups.stock_by_product(warehouse["movement_lines"]))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
+
+
+def test_only_invoices_of_several_days_have_rows_of_their_own(warehouse):
+    days = warehouse["sales_by_day"].where("nro_repetida IS NOT NULL")
+    several = (
+        warehouse["sale_lines"]
+        .groupBy("nro_factura")
+        .agg(F.count_distinct("sk_fecha", "sk_moneda").alias("n"))
+        .where("n > 1")
+    )
+    assert days.select("nro_repetida").distinct().count() == several.count()
+
+
 def test_scans_are_pruned(warehouse):
     text = plan(rollups.sales_by_product(warehouse["sale_lines"]))
     read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)

@@ -76,6 +76,44 @@ def test_other_formats(spark, tmp_path, kind):
     assert (row.numero, row.product_codigo, row.cantidad, row.subtotal) == ("F1", "P1", 2.0, 3.0)
 
 
+def test_files_of_a_folder_must_agree_on_the_header(spark, tmp_path, store):
+    folder = tmp_path / "clientes"
+    folder.mkdir()
+    write(folder / "a.csv", "documento,nombre,fecha_registro,email\nV-1,Ana,2024-01-01,a@x.org\n")
+    write(folder / "b.csv", "nombre,documento,fecha_registro,email\nEva,V-2,2024-01-01,e@x.org\n")
+    with pytest.raises(StagingError, match="stg_clientes"):
+        load_staging(spark, [SourceSpec(str(folder), "stg_clientes")], store)
+
+
+@pytest.mark.parametrize("row", ["2024-01-01,Nuevo,surplus", "2024-01-01"])
+def test_a_row_of_another_width_is_refused(spark, tmp_path, store, row):
+    path = write(tmp_path / "feriados.csv", f"fecha,feriado\n2024-05-01,Trabajo\n{row}\n")
+    with pytest.raises(StagingError, match="stg_feriados"):
+        load_staging(spark, [SourceSpec(path, "stg_feriados")], store)
+
+
+def test_json_is_read_without_a_job_for_its_schema(spark, tmp_path):
+    path = write(tmp_path / "d.json", '{"Numero": "F1", "Product Codigo": "P1", "Cantidad": 2}\n')
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("json-schema", "planning only")
+    df = read_source(spark, SourceSpec(path, "stg_ventas_detalle", "json"))
+    assert tracker.getJobIdsForGroup("json-schema") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    row = df.first()
+    assert (row.numero, row.product_codigo, row.cantidad, row.subtotal) == ("F1", "P1", 2.0, None)
+
+
+@pytest.mark.parametrize("text", ["12d", "12f", "0x1p3", "1_000", "NaN", ""])
+def test_numbers_are_decimal_numbers(spark, tmp_path, store, text):
+    header = "numero,product_codigo,cantidad,precio_unitario,subtotal\n"
+    path = write(tmp_path / "d.csv", f'{header}F1,P1,"{text}",1.5e1,+.5\n')
+    row = read_source(spark, SourceSpec(path, "stg_ventas_detalle"), safe=True).first()
+    assert (row.cantidad, row.precio_unitario, row.subtotal) == (None, 15.0, 0.5)
+    if text not in ("", "NaN"):  # these two stand for a missing cell
+        with pytest.raises(StagingError):
+            load_staging(spark, [SourceSpec(path, "stg_ventas_detalle")], store)
+
+
 def test_all_sources_are_tried_before_the_error(spark, tmp_path, store):
     good = SourceSpec(write(tmp_path / "a.csv", "fecha,feriado\n2024-01-01,Nuevo\n"), "stg_feriados")
     gone = SourceSpec(str(tmp_path / "missing.csv"), "stg_clientes")
