@@ -4,14 +4,13 @@ Nothing is rejected here: every rule yields one row with the number of rows (or
 keys) that break it, so that a rule with zero is visible too.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import money, overflows, whole
 from tallyhouse.functions.text import after_prefix
-from tallyhouse.operators.joins import optional_lookup
 from tallyhouse.plans.dims import reason
 from tallyhouse.plans.facts import OVERFLOWS
 
@@ -68,6 +67,8 @@ FACT_NAMES = {
 }
 # Rules that stop a load in a database with declared constraints.
 STRICT_RULES = ("no_nulo", "dominio", "longitud", "unico", "precision")
+# What a rule counts: rows, keys that repeat, rows whose key is not known.
+ROWS, REPEATED, MISSING = "rows", "repeated", "missing"
 # Values that become NULL because they do not fit their column, told apart from missing ones.
 PRECISION: dict[str, dict[str, Callable[[Column], Column]]] = {
     "stg_productos": {
@@ -80,15 +81,73 @@ PRECISION: dict[str, dict[str, Callable[[Column], Column]]] = {
 }
 
 
+class _Rules:
+    """All rules by number, and what the rows of each table contribute to them.
+
+    A contribution is (rule, key, rows, parent). Rules about rows have no key; rules
+    about keys count per key, references also which keys are known.
+    """
+
+    def __init__(self):
+        self.rules: list[tuple[str, str, str, str]] = []
+        self.parts: dict[str, list[Column]] = {}
+
+    def add(self, table: str, column: str, rule: str, kind: str) -> int:
+        self.rules.append((table, column, rule, kind))
+        return len(self.rules) - 1
+
+    def give(
+        self, table: str, rule: int, when: Column | None, key: Column | None = None, parent: bool = False
+    ) -> None:
+        part = F.struct(
+            F.lit(rule).alias("rule"),
+            (F.lit(None) if key is None else key).cast("string").alias("key"),
+            F.lit(0 if parent else 1).cast("bigint").alias("rows"),
+            F.lit(parent).alias("parent"),
+        )
+        self.parts.setdefault(table, []).append(part if when is None else F.when(when, part))
+
+
 def quality_checks(warehouse) -> DataFrame:
-    """tabla, columna, regla and the number of rows or keys that break the rule."""
-    results = [
-        *_column_rules(warehouse),
-        *_key_rules(warehouse),
-        *_precision_rules(warehouse),
-        *_reference_rules(warehouse),
+    """tabla, columna, regla and the number of rows or keys that break the rule.
+
+    Every table is read once. What its rows contribute to all rules is counted per rule
+    and key with map-side combine, in one shuffle for all tables; no tables are joined.
+    """
+    rules = _Rules()
+    _column_rules(rules)
+    _key_rules(rules)
+    _precision_rules(rules)
+    _reference_rules(rules)
+    given = [
+        warehouse[table].select(F.inline(F.array_compact(F.array(*parts))))
+        for table, parts in rules.parts.items()
+    ]
+    per_key = _union(given).groupBy("rule", "key").agg(
+        F.sum("rows").alias("rows"), F.max("parent").alias("known")
+    )
+    kinds = F.array(*[F.lit(kind) for *_, kind in rules.rules])
+    kind = F.element_at(kinds, F.col("rule") + 1)
+    broken = (
+        F.when(kind == REPEATED, (F.col("rows") > 1).cast("bigint"))
+        .when((kind == MISSING) & F.col("known"), F.lit(0))
+        .otherwise(F.col("rows"))
+    )
+    counted = per_key.groupBy("rule").agg(F.sum(broken).alias("rows"))
+    listed = [
+        F.struct(
+            F.lit(number).alias("rule"),
+            F.lit(table).alias("tabla"),
+            F.lit(column).alias("columna"),
+            F.lit(rule).alias("regla"),
+        )
+        for number, (table, column, rule, _) in enumerate(rules.rules)
     ]
-    return _union(results)
+    # One row per rule: a fixed number.
+    names = warehouse.store.spark.range(1).select(F.inline(F.array(*listed)))
+    return names.join(F.broadcast(counted), "rule", "left").select(
+        "tabla", "columna", "regla", F.coalesce("rows", F.lit(0)).cast("bigint").alias("filas")
+    )
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -99,122 +158,84 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return _union(frames[:middle]).union(_union(frames[middle:]))
 
 
-def _column_rules(warehouse) -> Iterator[DataFrame]:
-    """All column rules of a table in one pass over it."""
+def _column_rules(rules: _Rules) -> None:
     for table, columns in NOT_NULL.items():
-        rules = {(c, "no_nulo"): F.col(c).isNull() for c in columns}
+        broken = {(c, "no_nulo"): F.col(c).isNull() for c in columns}
         for c, allowed in DOMAINS.get(table, {}).items():
-            rules[c, "dominio"] = ~F.col(c).isin(allowed)
+            broken[c, "dominio"] = ~F.col(c).isin(allowed)
         for c, length in MAX_LENGTH.get(table, {}).items():
-            rules[c, "longitud"] = F.length(c) > length
+            broken[c, "longitud"] = F.length(c) > length
         for c, flag in OVERFLOWS.items() if table == "sale_lines" else ():
-            rules[c, "precision"] = F.col(flag)
-        yield _counts(warehouse[table], FACT_NAMES.get(table, table), rules)
-
-
-def _counts(df: DataFrame, table: str, rules: dict[tuple[str, str], Column]) -> DataFrame:
-    """One row per rule with the number of rows that break it, in one pass."""
-    results = [
-        F.struct(
-            F.lit(column).alias("columna"),
-            F.lit(rule).alias("regla"),
-            F.count_if(broken).alias("filas"),
-        )
-        for (column, rule), broken in rules.items()
-    ]
-    counted = df.agg(F.array(*results).alias("results"))
-    return counted.select(F.lit(table).alias("tabla"), F.inline("results"))
+            broken[c, "precision"] = F.col(flag)
+        for (column, rule), when in broken.items():
+            number = rules.add(FACT_NAMES.get(table, table), column, rule, ROWS)
+            rules.give(table, number, when)
 
 
-def _key_rules(warehouse) -> Iterator[DataFrame]:
+def _key_rules(rules: _Rules) -> None:
     keys = [(t, columns, "unico") for t, columns in UNIQUE.items()]
     keys += [(t, [column], "clave_repetida") for t, column in NATURAL_KEYS.items()]
     for table, columns, rule in keys:
-        repeated = warehouse[table].groupBy(*columns).count().where("count > 1")
-        yield _one_row(repeated, table, ", ".join(columns), rule)
+        number = rules.add(table, ", ".join(columns), rule, REPEATED)
+        rules.give(table, number, None, F.to_json(F.struct(*columns)))
 
 
-def _precision_rules(warehouse) -> Iterator[DataFrame]:
+def _precision_rules(rules: _Rules) -> None:
     """Numbers that are there but do not fit; amounts of sales are checked after conversion."""
     for table, columns in PRECISION.items():
-        rules = {(c, "precision"): overflows(F.col(c), fit(F.col(c))) for c, fit in columns.items()}
-        yield _counts(warehouse[table], table, rules)
-
+        for c, fit in columns.items():
+            number = rules.add(table, c, "precision", ROWS)
+            rules.give(table, number, overflows(F.col(c), fit(F.col(c))))
 
-def _reference_rules(warehouse) -> Iterator[DataFrame]:
-    """Staging rows that find no partner: dropped by inner joins, NULL in outer ones.
-
-    Every staging table is read once for all its references.
-    """
 
-    def dim(table: str, column: str) -> DataFrame:
-        return warehouse[table].select(F.col(column).alias("parent"))
-
-    def documents(table: str) -> DataFrame:
-        return warehouse[table].select(F.col("numero").alias("parent"))
+def _reference_rules(rules: _Rules) -> None:
+    """Staging rows that find no partner: dropped by inner joins, NULL in outer ones."""
 
     def kind(code: str, motive: Column) -> Column:
         return F.concat_ws("\n", code, motive)
 
     day, product = F.to_date("fecha_hora"), F.col("product_codigo")
-    kinds = warehouse["dim_tipo_movimiento"].select(kind("codigo", F.col("motivo")).alias("parent"))
     customer = after_prefix("cliente_documento")
-    # Column, key, parents, and whether a missing key is allowed.
-    rules = {
+    number = F.col("numero")
+    move = F.when(F.col("tipo").isNotNull(), kind("tipo", reason("motivo")))
+    dates, codes = ("dim_tiempo", F.col("fecha")), ("dim_producto", F.col("codigo"))
+    # Column, key, parent table and its key, and whether a missing key is allowed.
+    references = {
         "stg_ventas_detalle": [
-            ("numero", F.col("numero"), documents("stg_ventas_header"), False),
-            ("product_codigo", product, dim("dim_producto", "codigo"), False),
+            ("numero", number, ("stg_ventas_header", number), False),
+            ("product_codigo", product, codes, False),
         ],
         "stg_ventas_header": [
-            ("fecha_hora", day, dim("dim_tiempo", "fecha"), False),
-            ("cliente_documento", customer, dim("dim_clientes", "documento"), True),
-            ("usuario", F.col("usuario"), dim("dim_usuarios", "username"), True),
+            ("fecha_hora", day, dates, False),
+            ("cliente_documento", customer, ("dim_clientes", F.col("documento")), True),
+            ("usuario", F.col("usuario"), ("dim_usuarios", F.col("username")), True),
         ],
         "stg_compras_detalle": [
-            ("numero", F.col("numero"), documents("stg_compras_header"), False),
-            ("product_codigo", product, dim("dim_producto", "codigo"), False),
+            ("numero", number, ("stg_compras_header", number), False),
+            ("product_codigo", product, codes, False),
         ],
         "stg_compras_header": [
             (
                 "proveedor_documento",
                 F.col("proveedor_documento"),
-                dim("dim_proveedor", "documento"),
+                ("dim_proveedor", F.col("documento")),
                 False,
             ),
-            ("fecha_hora", day, dim("dim_tiempo", "fecha"), False),
+            ("fecha_hora", day, dates, False),
         ],
         "stg_movimientos_inventario": [
-            ("product_codigo", product, dim("dim_producto", "codigo"), False),
-            ("fecha_hora", day, dim("dim_tiempo", "fecha"), False),
+            ("product_codigo", product, codes, False),
+            ("fecha_hora", day, dates, False),
             (
                 "tipo, motivo",
-                F.when(F.col("tipo").isNotNull(), kind("tipo", reason("motivo"))),
-                kinds,
+                move,
+                ("dim_tipo_movimiento", kind("codigo", F.col("motivo"))),
                 False,
             ),
         ],
     }
-    for table, references in rules.items():
-        rows = warehouse[table].select(
-            *[key.alias(f"key{i}") for i, (_, key, _, _) in enumerate(references)]
-        )
-        broken = {}
-        for i, (column, _, parents, optional) in enumerate(references):
-            known = parents.distinct().withColumn(f"found{i}", F.lit(True))
-            # A row without this key is spread by another key.
-            other = f"key{(i + 1) % len(references)}"
-            rows = optional_lookup(rows, known, f"key{i}", "parent", spread_by=other)
-            missing = F.col(f"found{i}").isNull()
-            if optional:
-                missing &= F.col(f"key{i}").isNotNull()
-            broken[column, "sin_referencia"] = missing
-        yield _counts(rows, table, broken)
-
-
-def _one_row(broken: DataFrame, table: str, column: str, rule: str) -> DataFrame:
-    return broken.agg(F.count(F.lit(1)).alias("filas")).select(
-        F.lit(table).alias("tabla"),
-        F.lit(column).alias("columna"),
-        F.lit(rule).alias("regla"),
-        "filas",
-    )
+    for table, listed in references.items():
+        for column, key, (parent, parent_key), optional in listed:
+            rule = rules.add(table, column, "sin_referencia", MISSING)
+            rules.give(table, rule, key.isNotNull() if optional else None, key)
+            rules.give(parent, rule, parent_key.isNotNull(), parent_key, parent=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tallyhouse.plans import rollups
+from tallyhouse.plans.quality import quality_checks
 from tallyhouse.plans.warehouse import DIMS, LINES, MARTS
 
 SMALL = "/root/testdata/sf0.001"
@@ -94,6 +95,14 @@ def test_only_invoices_of_several_days_have_rows_of_their_own(warehouse):
     assert days.select("nro_repetida").distinct().count() == several.count()
 
 
+def test_quality_checks_read_every_table_once(warehouse):
+    text = plan(quality_checks(warehouse))
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    stored = re.findall(r"Scan parquet .*?Location: InMemoryFileIndex\S*\[([^,\]]*)", text)
+    assert stored
+
+
 def test_scans_are_pruned(warehouse):
     text = plan(rollups.sales_by_product(warehouse["sale_lines"]))
     read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
