@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tallyhouse
-from tallyhouse.plans.store import shared_folder
+from tallyhouse.plans.store import Files, shared_folder
 
 FILE, ROW = "__file", "__row"
 PART, POSITION = "__part", "__position"
@@ -22,9 +25,24 @@ PART, POSITION = "__part", "__position"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+_roots: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one; every write gets its own, so plans never clash."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one; every write gets its own, so plans never clash.
+
+    An application's folders lie in one that is removed when its process ends.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _roots:
+        _roots[application] = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+        atexit.register(_remove, Files(spark), _roots[application])
+    return f"{_roots[application]}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(files: Files, folder: str) -> None:
+    with contextlib.suppress(Py4JError, OSError):  # the JVM may be gone already
+        files.delete(folder)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -65,22 +83,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(crc32_of(doc_id) % 5 == 0, F.lit(False))
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """Add FILE and ROW, which name a stored row and stay the same in every later scan.
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or with underscores before it if the frame has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_row_key(df: DataFrame, file: str = FILE, row: str = ROW) -> DataFrame:
+    """Add two columns, FILE and ROW if not said otherwise, which name a stored row and stay the same in every later scan.
 
     Rows that do not come straight from files are stored first. Repeated rows and
     repeated or null ids thus stay apart.
     """
     ship_package(df.sparkSession)
+    kept = on_files(df)
+    hidden = kept.metadataColumn("_metadata")
+    return kept.select(
+        "*",
+        F.xxhash64(hidden["file_path"]).alias(file),
+        hidden["row_index"].alias(row),
+    )
+
+
+def on_files(df: DataFrame) -> DataFrame:
+    """df itself if its rows come straight from files, else a stored copy.
+
+    Two uses of the result with_row_key give the same keys.
+    """
     try:
-        hidden = df.metadataColumn("_metadata")
-        return df.select(
-            "*",
-            F.xxhash64(hidden["file_path"]).alias(FILE),
-            hidden["row_index"].alias(ROW),
-        )
-    except AnalysisException:  # the frame has no file metadata
-        return with_row_key(stored(df, "rows"))
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return stored(df, "rows")
+    return df
 
 
 def numbered(

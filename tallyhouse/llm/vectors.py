@@ -16,7 +16,7 @@ Defined results: vectors that are null or hold a null or non-finite component ta
 part; vectors of other lengths never meet; rows with the query's own id are not its
 candidates; ties go to the smaller id, a null id comes last and is never a query; repeated
 rows are candidates each on their own; an empty table gives an empty one; other columns
-are not read.
+are not read. Scaled components are taken to stay below 2^26, so that scores are exact longs.
 """
 
 from __future__ import annotations
