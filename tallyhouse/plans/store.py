@@ -33,6 +33,7 @@ class Files:
     """The few file operations a store needs, on whatever file system its root is."""
 
     def __init__(self, spark: SparkSession):
+        self._jvm = spark._jvm
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -55,6 +56,26 @@ class Files:
         system, where = self._at(path)
         system.delete(where, True)
 
+    def data_files(self, path: str) -> list[str]:
+        """The file itself, or the visible files of a folder; none if there is neither."""
+        system, where = self._at(path)
+        if not system.exists(where):
+            return []
+        found = [s.getPath() for s in system.listStatus(where) if s.isFile()]
+        return sorted(p.toString() for p in found if p.getName()[0] not in "._")
+
+    def first_line(self, path: str) -> str | None:
+        """The first line of a text file, which may be compressed."""
+        system, where = self._at(path)
+        codecs = self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf)
+        codec, stream = codecs.getCodec(where), system.open(where)
+        plain = codec.createInputStream(stream) if codec else stream
+        reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
     def signature(self, path: str) -> tuple:
         """Name, size and time of every file below a folder."""
         system, where = self._at(path)

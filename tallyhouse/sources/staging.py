@@ -3,11 +3,13 @@
 import logging
 from collections import Counter
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.plans.store import Files
 from tallyhouse.sources.specs import SourceSpec
 
 log = logging.getLogger(__name__)
@@ -94,24 +96,37 @@ def apply_schema(df: DataFrame, schema: str, safe: bool) -> DataFrame:
 def read_source(spark: SparkSession, spec: SourceSpec, safe: bool = False) -> DataFrame:
     """One source, cleaned and typed. Text files are read as text: one pass, no inference.
 
-    The files of a csv folder must agree on their header, and every row on the number
-    of cells; otherwise the load fails and says where. JSON lines are taken by their
-    keys; only a source that declares no columns is read once more to learn them.
+    Columns of csv files are taken by name, whatever their order in each file of a
+    folder; a row with more or fewer cells than its header fails the load. JSON lines
+    are taken by their keys; only a source that declares no columns is read once more
+    to learn them.
     """
     reader = spark.read.format(spec.format)
     if spec.format == "csv":
-        reader = reader.options(header=True, inferSchema=False, enforceSchema=False, mode="FAILFAST")
-    if spec.format == "json":
-        if spec.schema and not spec.options:
-            raw = _json_lines(spark, spec)
-        else:
-            raw = reader.options(primitivesAsString=True, **spec.options).load(spec.path)
+        raw = _csv_files(spark, spec)
+    elif spec.format == "json" and spec.schema and not spec.options:
+        raw = _json_lines(spark, spec)
+    elif spec.format == "json":
+        raw = normalize_columns(reader.options(primitivesAsString=True, **spec.options).load(spec.path))
     else:
-        raw = reader.options(**spec.options).load(spec.path)
-    cleaned = drop_empty_rows(blank_tokens(normalize_columns(raw), spec.null_tokens))
+        raw = normalize_columns(reader.options(**spec.options).load(spec.path))
+    cleaned = drop_empty_rows(blank_tokens(raw, spec.null_tokens))
     return add_audit_columns(apply_schema(cleaned, spec.schema, safe), spec.file_name)
 
 
+def _csv_files(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """Files of equal headers are read together, then united by normalized names."""
+    files = Files(spark)
+    by_header: dict[str | None, list[str]] = {}
+    for path in files.data_files(spec.path):
+        by_header.setdefault(files.first_line(path), []).append(path)
+    by_header.pop(None, None)  # files without a line
+    options = {"header": True, "inferSchema": False, "enforceSchema": False, "mode": "FAILFAST"}
+    reader = spark.read.format("csv").options(**options).options(**spec.options)
+    read = [normalize_columns(reader.load(paths)) for paths in by_header.values() or [spec.path]]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
+
+
 def _json_lines(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Declared columns of JSON lines, found by their normalized keys."""
     names = [f.name for f in T.StructType.fromDDL(spec.schema)]

@@ -76,13 +76,20 @@ def test_other_formats(spark, tmp_path, kind):
     assert (row.numero, row.product_codigo, row.cantidad, row.subtotal) == ("F1", "P1", 2.0, 3.0)
 
 
-def test_files_of_a_folder_must_agree_on_the_header(spark, tmp_path, store):
+def test_files_of_a_folder_are_read_by_name(spark, tmp_path, store):
     folder = tmp_path / "clientes"
     folder.mkdir()
     write(folder / "a.csv", "documento,nombre,fecha_registro,email\nV-1,Ana,2024-01-01,a@x.org\n")
     write(folder / "b.csv", "nombre,documento,fecha_registro,email\nEva,V-2,2024-01-01,e@x.org\n")
-    with pytest.raises(StagingError, match="stg_clientes"):
-        load_staging(spark, [SourceSpec(str(folder), "stg_clientes")], store)
+    write(folder / "c.csv", " Nombre ,DOCUMENTO,Email,Fecha Registro,Nota\nLuz,V-3,l@x.org,2024-01-02,n\n")
+    write(folder / "d.csv", "")
+    tables = load_staging(spark, [SourceSpec(str(folder), "stg_clientes")], store)
+    rows = tables["stg_clientes"].orderBy("documento").collect()
+    assert [(r.documento, r.nombre, r.email, r.nota) for r in rows] == [
+        ("V-1", "Ana", "a@x.org", None),
+        ("V-2", "Eva", "e@x.org", None),
+        ("V-3", "Luz", "l@x.org", "n"),
+    ]
 
 
 @pytest.mark.parametrize("row", ["2024-01-01,Nuevo,surplus", "2024-01-01"])
