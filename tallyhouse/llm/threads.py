@@ -118,29 +118,43 @@ def _linked(messages: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """Root and depth of every message with a parent, in rounds that double the reach."""
+    """Root and depth of every message with a parent, in rounds that double the reach.
+
+    A message that has reached its root takes no part in later rounds, so a few long
+    conversations do not make the short ones go round with them.
+    """
+    itself = (F.col(FILE).alias("f"), F.col(ROW).alias("r"))
+    target = (F.col(f"root.{FILE}") == F.col("f")) & (F.col(f"root.{ROW}") == F.col("r"))
+    first = parents.select(FILE, ROW, F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"))
     state = stored(
-        parents.select(FILE, ROW, F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")),
+        first.join(parents.select(*itself), target, "left").select(
+            FILE, ROW, "root", "depth", F.col("f").isNull().alias("done")
+        ),
         "threads",
     )
-    while True:
-        further = state.select(
-            F.col(FILE).alias("f"), F.col(ROW).alias("r"), F.col("root").alias("up"), F.col("depth").alias("more")
+    finished, active = state.where("done"), state.where("NOT done")
+    while not active.isEmpty():
+        known = finished.unionByName(active)
+        further = known.select(
+            *itself,
+            F.col("root").alias("up"),
+            F.col("depth").alias("more"),
+            F.col("done").alias("ends"),
         )
-        reached = (F.col(f"root.{FILE}") == F.col("f")) & (F.col(f"root.{ROW}") == F.col("r"))
         moved = stored(
-            state.join(further, reached, "left").select(
+            active.drop("done")
+            .join(further, target)
+            .select(
                 FILE,
                 ROW,
-                F.coalesce("up", "root").alias("root"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                F.col("up").isNotNull().alias("moved"),
+                F.col("up").alias("root"),
+                (F.col("depth") + F.col("more")).alias("depth"),
+                F.col("ends").alias("done"),
             ),
             "threads",
         )
-        state = moved.drop("moved")
-        if moved.where("moved").isEmpty():
-            return state
+        finished, active = finished.unionByName(moved.where("done")), moved.where("NOT done")
+    return finished.drop("done")
 
 
 def link_replies(
@@ -212,7 +226,8 @@ def mailed(conversations: DataFrame) -> DataFrame:
     second = turns.select(F.col("conv_id").alias("c2"), F.col("turn").alias("to2"), F.col("text").alias("t2"))
 
     def quote(text: str, marks: str):
-        return F.when(F.col(text).isNotNull(), F.concat(F.lit(marks), F.replace(F.col(text), F.lit("\n"), F.lit("\n" + marks))))
+        lines = F.replace(F.col(text), F.lit("\n"), F.lit("\n" + marks))
+        return F.when(F.col(text).isNotNull(), F.concat(F.lit(marks), lines))
 
     joined = answering.join(
         first, (F.col("conv_id") == F.col("c1")) & (F.col("to") == F.col("to1")), "left"
