@@ -92,7 +92,9 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def with_row_key(df: DataFrame, file: str = FILE, row: str = ROW) -> DataFrame:
-    """Add two columns, FILE and ROW if not said otherwise, which name a stored row and stay the same in every later scan.
+    """Add two columns, FILE and ROW if not said otherwise, which name a stored row.
+
+    They stay the same in every later scan.
 
     Rows that do not come straight from files are stored first. Repeated rows and
     repeated or null ids thus stay apart.
@@ -148,7 +150,8 @@ def numbered(
         *[F.coalesce(F.sum(f"{c}_sum").over(before), F.lit(0)).alias(f"{c}_first") for c in sums],
     )
     # One row per partition: small at any size of the input.
-    out = placed.join(F.broadcast(firsts), PART).withColumn("index", F.col("first") + F.col(POSITION))
+    index = F.col("first") + F.col(POSITION)
+    out = placed.join(F.broadcast(firsts), PART).withColumn("index", index)
     within = (
         Window.partitionBy(PART).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     )

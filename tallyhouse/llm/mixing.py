@@ -59,7 +59,9 @@ def source_targets(
     total = F.sum("source_size").over(everything)
     level = (total - F.coalesce(F.sum("most").over(earlier), F.lit(0))) / F.sum("weight").over(later)
     leveled = listed.withColumn("level", level)
-    open_level = F.min(F.when(F.col("most") >= F.col("weight") * F.col("level"), F.struct(F.col("source_size") / F.col("weight"), "s", "level"))).over(everything)["level"]
+    fill = F.col("source_size") / F.col("weight")
+    unfilled = F.col("most") >= F.col("weight") * F.col("level")
+    open_level = F.min(F.when(unfilled, F.struct(fill, "s", "level"))).over(everything)["level"]
     target = F.least(F.col("most").cast("double"), F.col("weight") * F.col("open"))
     return (
         leveled.withColumn("open", open_level)

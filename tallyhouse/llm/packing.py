@@ -298,7 +298,9 @@ def sequences(pieces: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> D
     ids = F.aggregate("parts", F.lit(b""), lambda b, p: F.concat(b, p["ids"]))
     padding = F.when(F.col("used").bitwiseAND(F.col("used") - 1) == 0, 0).otherwise(capacity - F.col("used"))
     pad = F.lit(int(pad_id).to_bytes(4, "little"))
-    filled = joined.select("sequence_id", used.alias("used"), ids.alias("ids"), F.col("parts.doc_id").alias("doc_ids"))
+    filled = joined.select(
+        "sequence_id", used.alias("used"), ids.alias("ids"), F.col("parts.doc_id").alias("doc_ids")
+    )
     return filled.withColumn("padding", padding.cast("long")).withColumn(
         "ids",
         F.aggregate(F.array_repeat(pad, F.col("padding").cast("int")), F.col("ids"), lambda b, p: F.concat(b, p)),

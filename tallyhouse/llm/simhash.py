@@ -225,9 +225,10 @@ def _links(radius: int, references: int):
         for at, size in zip(starts[big := sizes > SMALL_BUCKET], sizes[big], strict=True):
             out += _bucket_links(fps[at : at + size], tables, groups)
         several = np.flatnonzero((sizes > 1) & (sizes <= SMALL_BUCKET))
-        rows = np.concatenate([np.arange(a, a + n) for a, n in zip(starts[several], sizes[several], strict=True)] or [[]]).astype(np.int64)
-        if not len(rows):
+        if not len(several):
             return out
+        runs = zip(starts[several], sizes[several], strict=True)
+        rows = np.concatenate([np.arange(a, a + n) for a, n in runs])
         key, fp = keys[rows], fps[rows]
         coordinates = tables.coordinates(fp)
         for lag in range(1, SMALL_BUCKET):
