@@ -9,7 +9,7 @@ the lambdas, one row per source, are stored after every step.
 
 Rates become whole copies per size by rounding running sums from the longest size down, so
 a source misses its target by less than its longest document; the rest is made up by some
-copies more or fewer at one size per power of two. Within a size, copies go round evenly,
+copies more or fewer at up to eight sizes per power of two. Within a size, copies go round evenly,
 the odd ones by the hash of the document's id.
 
 Defined results: a null text has size 0; a null source is a source, the last; documents of
@@ -137,8 +137,8 @@ def solve(
 def _round(cells: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
     """Whole copies K of each source and size, from the rates: s, size, n, K.
 
-    Running sums are rounded from the longest size down; then one size per power of two
-    takes copies more or fewer, longest first, until the source's rest is shorter.
+    Running sums are rounded from the longest size down; then up to eight sizes per power
+    of two take copies more or fewer, longest first, until the source's rest is shorter.
     """
     down = Window.partitionBy("s").orderBy(F.col("size").desc())
     run = F.sum(F.col("n") * F.col("rate")).over(down)
@@ -162,10 +162,10 @@ def _round(cells: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
         .join(left, "s")
         .withColumn("room", room)
         .where("room > 0")
-        .groupBy("s", "left", F.floor(F.log2("size")).alias("octave"))
+        .groupBy("s", "left", F.floor(F.log2("size")).alias("octave"), (F.col("size") % 8).alias("of8"))
         .agg(F.max_by(F.struct("size", "room"), F.struct("room", "size")).alias("pick"))
         .groupBy("s", "left")
-        .agg(F.sort_array(F.collect_list("pick"), asc=False).alias("picks"))  # at most 64
+        .agg(F.sort_array(F.collect_list("pick"), asc=False).alias("picks"))  # at most 512
     )
     move = "struct<size:long,change:long>"
     start = F.struct(
