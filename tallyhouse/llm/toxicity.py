@@ -43,7 +43,7 @@ SECOND_PERSON = frozenset(
     "votre vos usted ustedes ti tus vosotros os".split()
 )
 #: Signs that stand for letters in disguised words.
-DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": ""})
+DISGUISE = str.maketrans("013457@$!", "oieastasi", "*")
 EDGES = "\"'`.,;:!?()[]{}<>|#%&*$-_/\\~^=+…–—«»“”„’‘¡¿"
 MAX_ROWS = 40_000
 #: Learned words and beginnings, each; their least count in toxic texts; letters of a beginning.
@@ -180,7 +180,8 @@ class ToxicityModel:
     def _margin(self, docs: DataFrame, text_col: str) -> DataFrame:
         rows = docs.withColumn("__tox_x", array_to_vector(_features(self.features)(F.col(text_col))))
         out = self.trees.transform(rows)
-        return out.withColumn("__tox_m", vector_to_array("__tox_p")[1]).drop("__tox_x", "__tox_raw", "__tox_p", "__tox_y")
+        rated = out.withColumn("__tox_m", vector_to_array("__tox_p")[1])
+        return rated.drop("__tox_x", "__tox_raw", "__tox_p", "__tox_y")
 
     def score(self, docs: DataFrame, text_col: str = "text", to: str = "score") -> DataFrame:
         """docs with the column `to`: the probability that a text is toxic."""
@@ -262,9 +263,13 @@ def fit(
     both = kept.agg(F.countDistinct("toxic")).first()[0] == 2
     curve = None
     if both:
-        rated = fitted.transform(kept).select(vector_to_array("__tox_p")[1].alias("__tox_m"), "toxic")
+        margin = vector_to_array("__tox_p")[1].alias("__tox_m")
+        # Copies have equal margins: they are counted before the curve's shuffle by margin.
+        rated = fitted.transform(kept).groupBy(margin, "toxic").agg(
+            F.count("*").cast("double").alias("weight")
+        )
         curve = IsotonicRegression(
-            featuresCol="__tox_m", labelCol="toxic", predictionCol="__tox_s"
+            featuresCol="__tox_m", labelCol="toxic", predictionCol="__tox_s", weightCol="weight"
         ).fit(rated)
     return ToxicityModel(features, fitted, curve)
 
