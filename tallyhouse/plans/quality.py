@@ -91,11 +91,16 @@ class _Rules:
     def __init__(self):
         self.rules: list[tuple[str, str, str, str]] = []
         self.parts: dict[str, list[Column]] = {}
+        self.counts: dict[str, list[Column]] = {}
 
     def add(self, table: str, column: str, rule: str, kind: str) -> int:
         self.rules.append((table, column, rule, kind))
         return len(self.rules) - 1
 
+    def count(self, table: str, rule: int, when: Column) -> None:
+        part = F.struct(F.lit(rule).alias("rule"), F.count_if(when).alias("rows"))
+        self.counts.setdefault(table, []).append(part)
+
     def give(
         self, table: str, rule: int, when: Column | None, key: Column | None = None, parent: bool = False
     ) -> None:
@@ -113,6 +118,7 @@ def quality_checks(warehouse) -> DataFrame:
 
     Every table is read once. What its rows contribute to all rules is counted per rule
     and key with map-side combine, in one shuffle for all tables; no tables are joined.
+    Tables without a rule about keys are only counted.
     """
     rules = _Rules()
     _column_rules(rules)
@@ -120,7 +126,7 @@ def quality_checks(warehouse) -> DataFrame:
     _precision_rules(rules)
     _reference_rules(rules)
     given = [
-        warehouse[table].select(F.inline(F.array_compact(F.array(*parts))))
+        warehouse[table].select(F.inline(F.array(*parts))).where("rule IS NOT NULL")
         for table, parts in rules.parts.items()
     ]
     per_key = _union(given).groupBy("rule", "key").agg(
@@ -134,6 +140,9 @@ def quality_checks(warehouse) -> DataFrame:
         .otherwise(F.col("rows"))
     )
     counted = per_key.groupBy("rule").agg(F.sum(broken).alias("rows"))
+    for table, counts in rules.counts.items():
+        found = warehouse[table].agg(F.array(*counts).alias("counts"))
+        counted = counted.unionByName(found.select(F.inline("counts")))
     listed = [
         F.struct(
             F.lit(number).alias("rule"),
@@ -169,7 +178,10 @@ def _column_rules(rules: _Rules) -> None:
             broken[c, "precision"] = F.col(flag)
         for (column, rule), when in broken.items():
             number = rules.add(FACT_NAMES.get(table, table), column, rule, ROWS)
-            rules.give(table, number, when)
+            if table in FACT_NAMES:
+                rules.count(table, number, when)
+            else:
+                rules.give(table, number, when)
 
 
 def _key_rules(rules: _Rules) -> None:
@@ -194,11 +206,11 @@ def _reference_rules(rules: _Rules) -> None:
     def kind(code: str, motive: Column) -> Column:
         return F.concat_ws("\n", code, motive)
 
-    day, product = F.to_date("fecha_hora"), F.col("product_codigo")
+    day, product = F.unix_date(F.to_date("fecha_hora")), F.col("product_codigo")
     customer = after_prefix("cliente_documento")
     number = F.col("numero")
     move = F.when(F.col("tipo").isNotNull(), kind("tipo", reason("motivo")))
-    dates, codes = ("dim_tiempo", F.col("fecha")), ("dim_producto", F.col("codigo"))
+    dates, codes = ("dim_tiempo", F.unix_date("fecha")), ("dim_producto", F.col("codigo"))
     # Column, key, parent table and its key, and whether a missing key is allowed.
     references = {
         "stg_ventas_detalle": [
