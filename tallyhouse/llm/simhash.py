@@ -288,7 +288,11 @@ def near_duplicates(
     radius: int = RADIUS,
     references: int = REFERENCES,
 ) -> DataFrame:
-    """Per row: doc_id, row key, fp, component_id (the smallest id of its component)."""
+    """Per row: doc_id, row key, fp, component_id (the smallest id of its component), root.
+
+    root is the component's least fingerprint as a signed long. It names the component;
+    component_id does not, where ids are null or repeated.
+    """
     prints = fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle)
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links(nodes, radius=radius, references=references))
@@ -296,15 +300,15 @@ def near_duplicates(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", FILE, ROW, "fp", "component_id")
+    named = rooted.join(smallest, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select("doc_id", FILE, ROW, "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows that stay: of each component one, with the smallest id; all columns as they are."""
     found = near_duplicates(docs, **options)
     nodes = found.select(
-        "component_id", F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW).alias("place")
+        "root", F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW).alias("place")
     )
-    kept = nodes.groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = nodes.groupBy("root").agg(F.min("place").alias("place"))
     return kept.select(f"place.{FILE}", f"place.{ROW}")

@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyhouse.llm import components, cuckoo, simhash
-from tallyhouse.llm.common import FILE, ROW
+from tallyhouse.llm.common import FILE, ROW, on_files, with_row_key
 
 RANDOM = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -169,6 +169,19 @@ def test_odd_documents_near(odd_documents, no_documents):
     assert simhash.keep_one(no_documents).count() == 0
 
 
+def test_one_row_stays_of_each_group_whatever_its_id(make):
+    """Null and repeated ids do not name a component."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"v{rng.integers(0, 10_000)}" for _ in range(60)) for _ in range(8)]
+    ids = [None, None, None, 7, 7, 7, 1, 2]
+    rows = [(i, t, None, None, None) for i, t in zip(ids, texts, strict=True)]
+    rows += [(None, texts[0], None, None, None), (9, texts[3], None, None, None)]
+    docs = on_files(make(rows))
+    assert len(set(groups([slow_fingerprint(t) for t in texts], 4))) == len(texts)
+    kept = with_row_key(docs).join(simhash.keep_one(docs), [FILE, ROW], "left_semi").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(zip(ids, texts, strict=True))
+
+
 def test_filter_inserts_deletes_and_overflows():
     held = cuckoo.CuckooFilter(2)
     keys = [hashlib.sha256(bytes([i])).digest() for i in range(200)]
