@@ -39,7 +39,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked fingerprints the row with the smallest doc_id."""
+    """Of every group of linked fingerprints the row with the smallest doc_id.
+
+    Links are op1's, at most 4 bits; most texts alike by 0.8 in 5-word shingles differ in
+    more and stay. README has the measured recall.
+    """
     docs = on_files(docs)
     return _only(docs, simhash.keep_one(docs))
 
