@@ -88,6 +88,26 @@ def test_scores_by_definition(make):
         assert found[i].lang_pred == best or posterior == pytest.approx(0.5, abs=1e-9)
 
 
+@pytest.mark.parametrize(("max_words", "max_grams"), [(0, 0), (3, 40), (0, 1000)])
+def test_what_tasks_hold_does_not_change_the_scores(make, max_words, max_grams):
+    rows = small_corpus()
+    unseen = ["die hunde sassen", "chats et chiens", "dogs sat", "the katze", "qqq", "x", "Zz3 dog", None, "1"]
+    asked = make([(i, t, None, None, None) for i, t in enumerate(unseen)] + [r[:1] + r[1:2] + (None,) * 3 for r in rows])
+    learn = ~held_out(F.col("doc_id"))
+    docs = make(rows)
+    words, grams = slow_model(rows)
+    found = language.identify(asked, language.train(docs, learn, max_words=max_words, max_grams=max_grams))
+    texts = {(r.doc_id, r.text) for r in asked.collect()}
+    expected = Counter()
+    for i, text in texts:
+        scores = slow_scores(text, words, grams)
+        best = max(sorted(scores), key=lambda x: scores[x])
+        posterior = 1 / sum(math.exp(s - scores[best]) for s in scores.values())
+        letters = any(map(str.isalpha, text or ""))
+        expected[i, best if letters else "und", round(posterior if letters else 0.0, 8)] += 1
+    assert Counter((r.doc_id, r.lang_pred, round(r.score, 8)) for r in found.collect()) == expected
+
+
 def test_held_out_rows_teach_nothing(make):
     rows = [(i, "alpha beta", "en", "s", None) for i in range(200) if not held(i)]
     rows += [(i, "alpha beta", "xx", "s", None) for i in range(200) if held(i)]
