@@ -10,6 +10,11 @@ level that links at all. Pointer doubling gives every message the root of its th
 its depth, and a distributed numbering its place in the conversation: threads in the order
 of their roots, replies after what they reply to, then by time.
 
+Only whole passages link: a passage is hashed in one piece. A quotation trimmed to a part of
+a paragraph, or a quoted paragraph that a reply's own lines part in two, has other hashes
+than the original and links to nothing; a message with no other quotation is then the root
+of a thread of its own. It counts as quoted and not as linked.
+
 Originals are reduced to one row per passage before the join, so a passage in very many
 messages is joined once for each quotation, never message by message.
 
