@@ -11,6 +11,7 @@ import corpus_pipeline
 from tallyhouse.llm import (
     cuckoo,
     language,
+    lines,
     mixing,
     packing,
     simhash,
@@ -78,6 +79,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_of(docs, labels)
 
 
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_rules(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash": op1_simhash,
@@ -90,11 +104,13 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_line_rules": op11_line_rules,
 }
 ORACLES: dict[str, str] = {
     "op3_quotes": threads.SQL,
     "op6_exact_dedup": cuckoo.SQL,
     "op8_top_k": vectors.SQL,
+    "op11_line_rules": lines.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
