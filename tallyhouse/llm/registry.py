@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyhouse.llm import (
+    alignment,
     cuckoo,
     language,
     lines,
@@ -92,6 +93,10 @@ def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash": op1_simhash,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
     "op11_line_rules": op11_line_rules,
+    "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {
     "op3_quotes": threads.SQL,

@@ -40,6 +40,36 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class PieceCache:
+    """A bounded map from pieces to ids in two generations.
+
+    What is used lives in the young one. When that is full it becomes the old one, from
+    which pieces come back when they are met again: common pieces survive, rare ones go.
+    """
+
+    def __init__(self, most: int):
+        self.half = max(1, most // 2)
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def turn(self) -> None:
+        """Start a new generation if the young one is full."""
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+
+    def missing(self, pieces: set[str]) -> set[str]:
+        """The pieces of neither generation; those of the old one become young again."""
+        young, old = self.young, self.old
+        fresh = pieces.difference(young)
+        known = fresh.intersection(old) if old else ()
+        for piece in known:
+            young[piece] = old[piece]
+        return fresh.difference(known) if known else fresh
+
+
 class Encoder:
     """Encodes texts to little-endian ids; special strings in a text are ordinary text."""
 
@@ -52,8 +82,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.max_cache = max_cache
-        self.cache: dict[str, bytes | None] = {}
+        self.cache = PieceCache(max_cache)
         with open(path, encoding="utf-8") as file:
             self.by_piece = self._cuts_at_spaces(json.load(file))
         self.parts: dict[str, bytes] = {}
@@ -75,7 +104,7 @@ class Encoder:
         return np.array(found, self.dtype).tobytes()
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        cache, word = self.cache, WORD_PIECE.fullmatch
+        cache, word = self.cache.young, WORD_PIECE.fullmatch
         tokenize, dtype = self.tokenizer.model.tokenize, self.dtype
         for piece in pieces:
             if found := word(piece):
@@ -114,13 +143,12 @@ class Encoder:
         """The ids of each text as bytes; a null text has none."""
         if not self.by_piece:
             return [self._ids(text or "") for text in texts]
-        if len(self.cache) > self.max_cache:
-            self.cache.clear()
+        self.cache.turn()
         split = [
             (text or "").replace(" ", "\0 ").replace("\n", "\0\n").split("\0") for text in texts
         ]
-        cache, out = self.cache, []
-        self._learn(set().union(*split).difference(cache))
+        cache, out = self.cache.young, []
+        self._learn(self.cache.missing(set().union(*split)))
         get = cache.__getitem__
         for text, pieces in zip(texts, split, strict=True):
             if text and "\0" in text:
