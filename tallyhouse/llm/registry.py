@@ -12,6 +12,7 @@ from tallyhouse.llm import (
     alignment,
     cuckoo,
     language,
+    lexical,
     lines,
     mixing,
     packing,
@@ -93,6 +94,11 @@ def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(_table(spark, sf_dir, "documents"))
+    return lexical.search(index, _table(spark, sf_dir, "benchmark"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(_table(spark, sf_dir, "documents"))
 
@@ -110,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
     "op11_line_rules": op11_line_rules,
+    "op12_lexical": op12_lexical,
     "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {
@@ -117,6 +124,7 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": cuckoo.SQL,
     "op8_top_k": vectors.SQL,
     "op11_line_rules": lines.SQL,
+    "op12_lexical": lexical.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
