@@ -14,64 +14,78 @@ def top_by_any(df: DataFrame, ranks: dict[str, str], k: int, store, name: str) -
 
     ranks maps a rank column to an integer or two-decimal measure. NULL is the
     largest value, as everywhere: rows without a measure share its first place.
-    The input never goes through one sorted partition: the k-th best value of
-    each measure selects the candidates, which are stored so that their size is
-    known, and their ranks are counted by value slices.
+    The input never goes through one sorted partition. All measures are stacked
+    into one column, so that every step handles them together: the k-th best
+    values, found from k rows of each task, select the candidates; those are
+    stored so that their size is known; then greater rows are counted by slices
+    of values, all measures in one aggregate per level.
     """
+    values = [(F.col(m) * 100).cast("bigint") for m in ranks.values()]
 
-    def among_best(measure: str) -> Column:
-        best = df.select(measure).orderBy(F.col(measure).desc_nulls_first()).limit(k)
-        least = best.agg(F.min(measure)).scalar()
-        return F.col(measure).isNull() | F.coalesce(F.col(measure) >= least, F.lit(False))
+    def stacked(rows: DataFrame, *keep: str) -> DataFrame:
+        cells = [F.struct(F.lit(i).alias("_m"), v.alias("_v")) for i, v in enumerate(values)]
+        return rows.select(*keep, F.inline(F.array(*cells)))
 
+    everyone = stacked(df)
+    best = Window.partitionBy("_m").orderBy(F.col("_v").desc_nulls_first())
+    first = everyone.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k)
+    least = first.agg(
+        F.struct(*[F.min(F.when(F.col("_m") == i, F.col("_v"))) for i in range(len(values))])
+    ).scalar()
+
+    def among_best(i: int) -> Column:
+        enough = values[i] >= least.getField(f"col{i + 1}")
+        return values[i].isNull() | F.coalesce(enough, F.lit(False))
+
+    candidates = df.where(reduce(Column.__or__, map(among_best, range(len(values)))))
     chosen = store.keep(
-        f"{name}_chosen", df.where(reduce(Column.__or__, [among_best(m) for m in ranks.values()]))
+        f"{name}_chosen", candidates.withColumn("_row", F.monotonically_increasing_id())
+    )
+    places = _places(stacked(chosen, "_row"), everyone)
+    wide = places.groupBy("_row").agg(
+        *[F.max(F.when(F.col("_m") == i, F.col("_rank"))).alias(r) for i, r in enumerate(ranks)]
     )
-    for rank, measure in ranks.items():
-        chosen = _add_rank(chosen, df, measure, rank)
     # A row may be a candidate where NULLs alone fill the first k places.
-    return chosen.where(reduce(Column.__or__, [F.col(r) <= k for r in ranks]))
+    inside = reduce(Column.__or__, [F.col(r) <= k for r in ranks])
+    return chosen.join(wide.where(inside), "_row").drop("_row")
 
 
-def _add_rank(chosen: DataFrame, everyone: DataFrame, measure: str, rank: str) -> DataFrame:
-    """rank = 1 + number of rows of everyone with a greater measure, NULL the greatest.
+def _places(chosen: DataFrame, everyone: DataFrame) -> DataFrame:
+    """_rank of each chosen (_row, _m, _v): 1 + number of values of everyone above it.
 
-    Greater rows are counted slice by slice: those in a higher top slice, those
-    in the same top slice but a higher middle slice, and so on. Every window
-    runs over at most 2^20 slice counts, and only slices that hold a chosen row
-    are refined.
+    Greater values are counted slice by slice: those in a higher top slice, those
+    in the same top slice but a higher middle slice, and so on. NULLs are a slice
+    of their own, above all others. Every window runs over at most 2^20 slice
+    counts, and only slices that hold a chosen value are refined.
     """
 
     def slice_of(bits: int) -> Column:
-        return F.shiftright((F.col(measure) * 100).cast("bigint"), bits)
+        return F.shiftright("_v", bits)
 
-    known = everyone.where(F.col(measure).isNotNull())
-    nulls = everyone.agg(F.count_if(F.col(measure).isNull())).scalar()
-    first = F.when(F.col(measure).isNull(), F.lit(1)).otherwise(nulls + 1)
-    ranked = chosen.withColumn(rank, first.cast("bigint"))
+    placed = chosen.withColumn("_rank", F.lit(1).cast("bigint"))
     outer = None
     for bits in SLICES:
-        inner = slice_of(bits).alias("_slice")
-        if outer is None:
-            pool = known.select(F.lit(0).alias("_outer"), inner)
-        else:
-            wanted = chosen.select(slice_of(outer).alias("_outer")).distinct()
-            pool = known.select(slice_of(outer).alias("_outer"), inner).join(
-                wanted, "_outer", "left_semi"
-            )
-        counts = pool.groupBy("_outer", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+        pool = everyone.select("_m", "_v")
+        # The first level has no slice around it; no value is NULL further in.
+        around = F.lit(0).cast("bigint") if outer is None else slice_of(outer)
+        if outer is not None:
+            wanted = chosen.select("_m", around.alias("_outer")).distinct()
+            pool = pool.withColumn("_outer", around).join(wanted, ["_m", "_outer"], "left_semi")
+        counts = pool.groupBy("_m", around.alias("_outer"), slice_of(bits).alias("_slice")).agg(
+            F.count(F.lit(1)).alias("_rows")
+        )
         above = (
-            Window.partitionBy("_outer")
-            .orderBy(F.col("_slice").desc())
+            Window.partitionBy("_m", "_outer")
+            .orderBy(F.col("_slice").desc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        counts = counts.select("_slice", F.sum("_rows").over(above).alias("_above"))
-        # A row without the measure has no slice and keeps the first place.
-        ranked = (
-            ranked.withColumn("_slice", slice_of(bits))
-            .join(counts, "_slice", "left")
-            .withColumn(rank, F.col(rank) + F.coalesce("_above", F.lit(0)))
+        counts = counts.select("_m", "_slice", F.sum("_rows").over(above).alias("_above"))
+        # NULL has no slice to join with and keeps the first place.
+        placed = (
+            placed.withColumn("_slice", slice_of(bits))
+            .join(counts, ["_m", "_slice"], "left")
+            .withColumn("_rank", F.col("_rank") + F.coalesce("_above", F.lit(0)))
             .drop("_slice", "_above")
         )
         outer = bits
-    return ranked
+    return placed
