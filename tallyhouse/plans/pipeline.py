@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
-from tallyhouse.plans.facts import FACT_LINES
+from tallyhouse.plans.facts import FACT_COLUMNS, FACT_LINES
 from tallyhouse.plans.quality import STRICT_RULES, quality_checks
 from tallyhouse.plans.store import Store
 from tallyhouse.plans.warehouse import DIMS, LINES, MARTS, ROLLUPS, Warehouse
@@ -76,15 +76,24 @@ def run_pipeline(
         build_tables(warehouse, names, threads)
         if publish and layer != "work":
             for name in names:
-                store.publish(layer, name, warehouse[name])
+                _publish(warehouse, layer, name)
     layers: dict[str, set[str]] = {"staging": set(staging)}
     for layer, names in STAGES:
         layers.setdefault(layer, set()).update(names)
-    layers["work"].add("quality_checks")
+    layers["work"].update(["quality_checks", *[f"{name}_offsets" for name in FACT_LINES]])
     store.prune(layers, publish)
     return warehouse
 
 
+def _publish(warehouse: Warehouse, layer: str, name: str) -> None:
+    """Facts are published as views, which add the keys to the stored rows."""
+    if name in FACT_LINES:
+        key, *columns = FACT_COLUMNS[name]
+        warehouse.store.publish_keyed(layer, name, f"{name}_offsets", key, columns)
+    else:
+        warehouse.store.publish(layer, name, warehouse[name])
+
+
 def check_quality(warehouse: Warehouse, on_violation: str) -> None:
     checks = warehouse.store.save("work", "quality_checks", quality_checks(warehouse))
     # One row per rule, a fixed number.

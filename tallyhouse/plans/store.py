@@ -56,26 +56,6 @@ class Files:
         system, where = self._at(path)
         system.delete(where, True)
 
-    def data_files(self, path: str) -> list[str]:
-        """The file itself, or the visible files of a folder; none if there is neither."""
-        system, where = self._at(path)
-        if not system.exists(where):
-            return []
-        found = [s.getPath() for s in system.listStatus(where) if s.isFile()]
-        return sorted(p.toString() for p in found if p.getName()[0] not in "._")
-
-    def first_line(self, path: str) -> str | None:
-        """The first line of a text file, which may be compressed."""
-        system, where = self._at(path)
-        codecs = self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf)
-        codec, stream = codecs.getCodec(where), system.open(where)
-        plain = codec.createInputStream(stream) if codec else stream
-        reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(plain, "UTF-8"))
-        try:
-            return reader.readLine()
-        finally:
-            reader.close()
-
     def signature(self, path: str) -> tuple:
         """Name, size and time of every file below a folder."""
         system, where = self._at(path)
@@ -157,12 +137,32 @@ class Store:
 
     def publish(self, layer: str, name: str, df: DataFrame) -> None:
         """Make a stored table visible to SQL as layer.name."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+        self._clear(layer, name)
         self.spark.catalog.createTable(
             f"{layer}.{name}", path=self.path(layer, name), source="parquet", schema=df.schema
         )
 
+    def _clear(self, layer: str, name: str) -> None:
+        """Make room for a table or view of that name."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        # Dropping one kind fails where the name belongs to the other.
+        held = [t for t in self.spark.catalog.listTables(layer) if t.name == name and not t.isTemporary]
+        for table in held:
+            kind = "VIEW" if table.tableType == "VIEW" else "TABLE"
+            self.spark.sql(f"DROP {kind} IF EXISTS {layer}.{name}")
+
+    def publish_keyed(self, layer: str, name: str, offsets: str, key: str, columns: list[str]) -> None:
+        """Make a fact whose keys are places in its files visible to SQL as layer.name."""
+        self._clear(layer, name)
+        listed = ", ".join(f"f.{c}" for c in columns)
+        self.spark.sql(
+            f"CREATE VIEW {layer}.{name} AS"
+            f" SELECT /*+ BROADCAST(o) */ o._offset + f._index + 1 AS {key}, {listed}"
+            f" FROM (SELECT *, _metadata.file_name AS _file, _metadata.row_index AS _index"
+            f" FROM parquet.`{self.path(layer, name)}`) f"
+            f" JOIN parquet.`{self.path('work', offsets)}` o ON f._file = o._file"
+        )
+
     def prune(self, layers: Mapping[str, Collection[str]], published: bool) -> None:
         """Leave, of each layer, the given tables in their newest version only."""
         for layer, names in layers.items():
@@ -178,7 +178,7 @@ class Store:
             if published and self.spark.catalog.databaseExists(layer):
                 for table in self.spark.catalog.listTables(layer):
                     if table.name not in names and not table.isTemporary:
-                        self.spark.sql(f"DROP TABLE {layer}.{table.name}")
+                        self._clear(layer, table.name)
 
     def close(self) -> None:
         """Remove everything below the root."""

@@ -5,7 +5,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from tallyhouse.operators.keys import assign_keys
+from tallyhouse.operators.keys import assign_keys, file_offsets, in_order, with_keys
 from tallyhouse.plans import dims, facts, rollups
 from tallyhouse.plans.marts import calendar, currencies, customers, products, stock
 from tallyhouse.plans.store import Store
@@ -139,13 +139,17 @@ class Warehouse:
         return build(*[self[i] for i in inputs])
 
     def fact(self, name: str) -> DataFrame:
-        """A fact with generated keys that follow the order of its source column."""
+        """A fact, stored in the order of its source column, which its keys follow.
+
+        Beside the lines it is written once: a key is the row's place in the stored files.
+        """
         source, first = facts.FACT_LINES[name]
         key, *columns = facts.FACT_COLUMNS[name]
-        lines = self[source]
         order = [first, *[c for c in columns if c != first]]
-        needed = lines.select(*dict.fromkeys(order))
-        return assign_keys(needed, order, key, self.store, name).select(key, *columns)
+        needed = self[source].select(*dict.fromkeys(order))
+        written = self.store.save("core", name, in_order(needed, order).select(*columns))
+        offsets = self.store.save("work", f"{name}_offsets", file_offsets(written))
+        return with_keys(written, offsets, key)
 
     def _stored(self, name: str) -> DataFrame:
         with self.store.temporary():
@@ -158,7 +162,7 @@ class Warehouse:
             keyed = assign_keys(rows, order, key, self.store, name)
             return self.store.save("core", name, keyed.drop("hora_desc"))
         if name in facts.FACT_LINES:
-            return self.store.save("core", name, self.fact(name))
+            return self.fact(name)
         if name in LINES:
             return self.store.save("work", name, self.lines(name))
         if name in ROLLUPS:

@@ -2,14 +2,13 @@
 
 import logging
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.plans.store import Files
 from tallyhouse.sources.specs import SourceSpec
 
 log = logging.getLogger(__name__)
@@ -114,16 +113,46 @@ def read_source(spark: SparkSession, spec: SourceSpec, safe: bool = False) -> Da
     return add_audit_columns(apply_schema(cleaned, spec.schema, safe), spec.file_name)
 
 
+def header_census(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a folder, or the file itself, by their first line; empty files are left out.
+
+    One Spark job. Each task has one file, however large, and stops reading after its
+    first rows; the driver opens none and gets one row per header.
+    """
+    # A session of its own, so that no other query sees these settings.
+    single = spark.newSession()
+    whole = str(1 << 60)
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": whole,
+        "spark.sql.files.openCostInBytes": whole,  # no second file fits beside one
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "16",
+    }.items():
+        single.conf.set(key, value)
+    lines = single.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    firsts = lines.mapInArrow(_first_row, "value string, path string")
+    # Paths are what Spark's own file listing holds on the driver as well.
+    # The column holds paths as URIs, in which a plus sign stands for itself.
+    path_text = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    found = firsts.groupBy("value").agg(F.sort_array(F.collect_list(path_text)).alias("paths"))
+    return {row["value"]: row["paths"] for row in found.collect()}
+
+
+def _first_row(batches: Iterator) -> Iterator:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
 def _csv_files(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Files of equal headers are read together, then united by normalized names."""
-    files = Files(spark)
-    by_header: dict[str | None, list[str]] = {}
-    for path in files.data_files(spec.path):
-        by_header.setdefault(files.first_line(path), []).append(path)
-    by_header.pop(None, None)  # files without a line
+    by_header = header_census(spark, spec.path)
     options = {"header": True, "inferSchema": False, "enforceSchema": False, "mode": "FAILFAST"}
     reader = spark.read.format("csv").options(**options).options(**spec.options)
-    read = [normalize_columns(reader.load(paths)) for paths in by_header.values() or [spec.path]]
+    read = [normalize_columns(reader.load(by_header[h])) for h in sorted(by_header)]
+    read = read or [normalize_columns(reader.load(spec.path))]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
 
 

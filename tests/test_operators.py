@@ -60,10 +60,24 @@ def test_many_copies_are_spread_while_keys_are_assigned(spark, store):
     assert sorted(r.sk for r in keyed.collect()) == list(range(1, 9001))
     (parts,) = [p for p in store.files.names(f"{store.root}/work/_parts") if p.startswith("t_placed")]
     placed = spark.read.parquet(f"{store.root}/work/_parts/{parts}")
-    part = F.shiftright("_pos", 33)
+    part = F.col("_metadata.file_name")
     assert max(r["count"] for r in placed.groupBy(part).count().collect()) < 6000
 
 
+def test_keys_follow_the_files_of_more_than_one_block(spark, store):
+    rows = store.save("work", "rows", spark.range(1000).select((999 - F.col("id")).alias("a")))
+    # Several files per task, which the reader splits and reads in any order.
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "70")
+    try:
+        keyed = assign_keys(rows, ["a"], "sk", store, "t")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert {(r.a, r.sk) for r in keyed.collect()} == {(i, i + 1) for i in range(1000)}
+    # The rows are written once, the offsets of their files beside them.
+    kept = store.files.names(f"{store.root}/work/_parts")
+    assert sorted(k.rsplit("-", 5)[0] for k in kept) == ["t_offsets", "t_placed"]
+
+
 def test_optional_lookup_keeps_every_row(spark):
     rows = [(i, None if i % 3 == 0 else f"k{i % 5}") for i in range(60)]
     facts = spark.createDataFrame(rows, "id int, k string")

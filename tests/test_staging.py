@@ -1,14 +1,17 @@
 """Readers, cleaning, typing and error collection."""
 
+import gzip
 from datetime import date, datetime
 
 import pytest
 
+from tallyhouse.plans.store import Files
 from tallyhouse.sources.specs import SourceSpec, folder_manifest
 from tallyhouse.sources.staging import (
     StagingError,
     add_audit_columns,
     drop_empty_rows,
+    header_census,
     load_staging,
     normalize_columns,
     read_source,
@@ -92,6 +95,53 @@ def test_files_of_a_folder_are_read_by_name(spark, tmp_path, store):
     ]
 
 
+def test_headers_of_many_files_come_from_one_job(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    headers = ["fecha,feriado", "Feriado,Fecha", " FECHA ,feriado,nota"]
+    for i in range(60):
+        write(folder / f"f+ {i}%20ñ.csv", headers[i % 3] + "\n" + "2024-01-01,x,y\n" * (5000 if i == 7 else i))
+    write(folder / "empty.csv", "")
+    write(folder / "_hidden.csv", "no,header\n")
+    spark.sparkContext.setJobGroup("census", "headers")
+    found = header_census(spark, str(folder))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("census")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    assert {h: len(paths) for h, paths in found.items()} == {h: 20 for h in headers}
+    assert spark.read.text(found[headers[0]]).count() == sum(1 + i for i in range(0, 60, 3))
+    # The session at hand keeps its settings.
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_headers_are_not_read_on_the_driver(spark, tmp_path, monkeypatch):
+    opened = []
+    real = open
+
+    def counted(file, *args, **kwargs):
+        opened.append(str(file))
+        return real(file, *args, **kwargs)
+
+    folder = tmp_path / "feriados"
+    folder.mkdir()
+    for i in range(5):
+        write(folder / f"{i}.csv", f"fecha,feriado\n2024-01-0{i + 1},x\n")
+    monkeypatch.setattr("builtins.open", counted)
+    monkeypatch.setattr(Files, "_at", lambda *_: pytest.fail("the driver touches a file"))
+    assert read_source(spark, SourceSpec(str(folder), "stg_feriados")).count() == 5
+    assert not [f for f in opened if f.endswith(".csv")]
+
+
+def test_gzipped_files_have_headers_too(spark, tmp_path):
+    folder = tmp_path / "packed"
+    folder.mkdir()
+    with gzip.open(folder / "a.csv.gz", "wt") as file:
+        file.write("fecha,feriado\n2024-01-01,Nuevo\n")
+    write(folder / "b.csv", "feriado,fecha\nTrabajo,2024-05-01\n")
+    rows = read_source(spark, SourceSpec(str(folder), "stg_feriados")).collect()
+    assert {(r.fecha, r.feriado) for r in rows} == {(date(2024, 1, 1), "Nuevo"), (date(2024, 5, 1), "Trabajo")}
+
+
 @pytest.mark.parametrize("row", ["2024-01-01,Nuevo,surplus", "2024-01-01"])
 def test_a_row_of_another_width_is_refused(spark, tmp_path, store, row):
     path = write(tmp_path / "feriados.csv", f"fecha,feriado\n2024-05-01,Trabajo\n{row}\n")
