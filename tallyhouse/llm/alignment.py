@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import ship_package, stored
-from tallyhouse.llm.tokens import BYTE_LETTERS, MAX_CACHE, PieceCache, default_tokenizer, encoder
+from tallyhouse.llm.tokens import BYTE_LETTERS, Encoder, PieceCache, default_tokenizer, packed
 
 #: Characters and texts that are aligned at once.
-BATCH_CHARS, BATCH_ROWS = 2_000_000, 4_000
-#: Pieces of B that one worker holds.
-MAX_PIECES = MAX_CACHE // 2
+BATCH_CHARS, BATCH_ROWS = 400_000, 4_000
+#: Pieces that one worker holds of each side.
+MAX_PIECES_A, MAX_PIECES_B = 300_000, 150_000
 SPACE_PIECE = "▁"
 CUT = re.compile("\n[^ \n]*| +[^ \n]*")
 
@@ -58,7 +58,7 @@ class PieceEncoder:
     text is cut there, and each distinct part is encoded once while a bounded cache has it.
     """
 
-    def __init__(self, path: str | None = None, max_cache: int = MAX_PIECES):
+    def __init__(self, path: str | None = None, max_cache: int = MAX_PIECES_B):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path or default_piece_model())
@@ -86,7 +86,7 @@ class PieceEncoder:
         return piece.replace(SPACE_PIECE, " ").encode()
 
     def _ids(self, found: list[int]) -> bytes:
-        return np.array(found, self.dtype).tobytes()
+        return packed(found, self.dtype)
 
     def _learn(self, parts: list[str]) -> None:
         """A part starts with a space, which the model adds, or with a line feed."""
@@ -96,7 +96,7 @@ class PieceEncoder:
                 ids = [self.space]
             elif part[0] == "\n":
                 ids = ids[1:]
-            self.cache.young[part] = self._ids(ids)
+            self.cache[part] = self._ids(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, not empty, as bytes."""
@@ -106,7 +106,7 @@ class PieceEncoder:
         # A space sign in the text itself may grow together with the spaces beside it.
         split = [None if SPACE_PIECE in t else CUT.findall(" " + t) for t in texts]
         self._learn(list(self.cache.missing(set().union(*filter(None, split)))))
-        get = self.cache.young.__getitem__
+        get = self.cache.__getitem__
         return [
             self._ids(self.model.encode(t)) if parts is None else b"".join(map(get, parts))
             for t, parts in zip(texts, split, strict=True)
@@ -117,7 +117,7 @@ class Sides:
     """Both tokenizers with the bytes, lengths and printed ids of their tokens."""
 
     def __init__(self, path_a: str | None, path_b: str | None):
-        self.a, self.b = encoder(path_a), PieceEncoder(path_b)
+        self.a, self.b = Encoder(path_a, MAX_PIECES_A), PieceEncoder(path_b)
         with open(path_a or default_tokenizer(), encoding="utf-8") as file:
             vocabulary = json.load(file)
         letters = {c: b for b, c in BYTE_LETTERS.items()}
@@ -302,6 +302,8 @@ def _align_batches(path_a: str | None, path_b: str | None):
                 "times": _one_list(per_doc["count_all"].combine_chunks().cast(pa.int32())),
             }
             yield pa.RecordBatch.from_pydict(columns)
+            # What the joins used goes back before the next batch.
+            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -28,7 +28,7 @@ from tallyhouse.llm.tokens import encoder
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 #: Texts encoded at once, by count and by characters.
-BATCH, BATCH_CHARS = 256, 1 << 21
+BATCH, BATCH_CHARS = 1024, 1 << 22
 
 
 def slices(texts: list[str | None]) -> Iterator[slice]:

@@ -3,19 +3,23 @@
 A text is cut before every space and line feed. Where the character before the cut is no
 white space, no token can reach over it (the pre-tokenizer lets a token take at most the
 one space before it), so the pieces' ids in a row are the text's ids. Pieces repeat far
-more than texts, and unseen ones are encoded together in one call.
+more than texts, and each is encoded once while the cache holds it.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+import sys
+from array import array
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces held by one Python worker; about 200 bytes each.
-MAX_CACHE = 600_000
+MAX_CACHE = 900_000
 BLOCK = 4096
 
 #: A line feed, one word of Latin letters with its space, punctuation: three tokens' worth
@@ -40,34 +44,45 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class PieceCache:
+class PieceCache(dict):
     """A bounded map from pieces to ids in two generations.
 
-    What is used lives in the young one. When that is full it becomes the old one, from
-    which pieces come back when they are met again: common pieces survive, rare ones go.
+    What is used lives in the young one, this dict. When that is full it becomes the old
+    one, from which pieces come back when they are met again: common pieces survive, rare
+    ones go. A piece of neither is learned when it is asked for.
     """
 
-    def __init__(self, most: int):
+    def __init__(self, most: int, learn: Callable[[str], bytes | None] | None = None):
+        super().__init__()
         self.half = max(1, most // 2)
-        self.young: dict[str, bytes | None] = {}
+        self.learn = learn
         self.old: dict[str, bytes | None] = {}
 
-    def __len__(self) -> int:
-        return len(self.young) + len(self.old)
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self.old[piece] if piece in self.old else self.learn(piece)
+        self[piece] = ids
+        return ids
 
     def turn(self) -> None:
         """Start a new generation if the young one is full."""
-        if len(self.young) > self.half:
-            self.old, self.young = self.young, {}
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()
 
     def missing(self, pieces: set[str]) -> set[str]:
         """The pieces of neither generation; those of the old one become young again."""
-        young, old = self.young, self.old
-        fresh = pieces.difference(young)
-        known = fresh.intersection(old) if old else ()
-        for piece in known:
-            young[piece] = old[piece]
-        return fresh.difference(known) if known else fresh
+        fresh = pieces.difference(self)
+        known = fresh.intersection(self.old)
+        self.update((piece, self.old[piece]) for piece in known)
+        return fresh - known
+
+
+def packed(ids: list[int], dtype: np.dtype) -> bytes:
+    """Ids as little-endian numbers of two or four bytes."""
+    out = array("H" if dtype.itemsize == 2 else "I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class Encoder:
@@ -82,7 +97,8 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache = PieceCache(max_cache)
+        self.cache = PieceCache(max_cache, self._learn)
+        self.tokenize = self.tokenizer.model.tokenize
         with open(path, encoding="utf-8") as file:
             self.by_piece = self._cuts_at_spaces(json.load(file))
         self.parts: dict[str, bytes] = {}
@@ -101,24 +117,22 @@ class Encoder:
 
     def _ids(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(found, self.dtype).tobytes()
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        cache, word = self.cache.young, WORD_PIECE.fullmatch
-        tokenize, dtype = self.tokenizer.model.tokenize, self.dtype
-        for piece in pieces:
-            if found := word(piece):
-                feed, core, tail = found.groups()
-                if (ids := cache.get(core)) is None:
-                    spelled = core.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    ids = np.array([t.id for t in tokenize(spelled)], dtype).tobytes()
-                    cache[core] = ids
-                if feed or tail:
-                    cache[piece] = self._part(feed) + ids + self._part(tail)
-            elif piece and piece[-1].isspace():
-                cache[piece] = None  # what follows may change its tokens
+        return packed(found, self.dtype)
+
+    def _learn(self, piece: str) -> bytes | None:
+        """The ids of a piece; None where what follows may change its tokens."""
+        if found := WORD_PIECE.fullmatch(piece):
+            feed, core, tail = found.groups()
+            if feed or tail:
+                return self._part(feed) + self.cache[core] + self._part(tail)
+            if core.isascii():
+                spelled = core.replace(" ", BYTE_LETTERS[32])
             else:
-                cache[piece] = self._ids(piece)
+                spelled = core.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return packed([t.id for t in self.tokenize(spelled)], self.dtype)
+        if piece and piece[-1].isspace():
+            return None
+        return self._ids(piece)
 
     def _part(self, text: str) -> bytes:
         """The ids of a line feed or of a run of punctuation, one token's worth of text."""
@@ -140,30 +154,53 @@ class Encoder:
         return [*out, held] if held else out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as bytes; a null text has none."""
+        """The ids of each text as bytes; a null text has none.
+
+        The pieces of all texts are found, told apart and put together again in Arrow;
+        Python sees each different piece of the batch once.
+        """
         if not self.by_piece:
             return [self._ids(text or "") for text in texts]
         self.cache.turn()
-        split = [
-            (text or "").replace(" ", "\0 ").replace("\n", "\0\n").split("\0") for text in texts
-        ]
-        cache, out = self.cache.young, []
-        self._learn(self.cache.missing(set().union(*split)))
-        get = cache.__getitem__
-        for text, pieces in zip(texts, split, strict=True):
+        # The sign at which texts are cut may not stand in a text.
+        column = pa.array(["" if not t or "\0" in t else t for t in texts], pa.large_string())
+        for sign in (" ", "\n"):
+            column = pc.replace_substring(column, sign, "\0" + sign)
+        pieces = pc.split_pattern(column, "\0")
+        coded = pieces.values.dictionary_encode()
+        found = [*map(self.cache.__getitem__, coded.dictionary.to_pylist())]
+        open_ended = np.array([x is None for x in found], bool)
+        known = [x or b"" for x in found]
+        starts = _running(np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize)
+        ids = pa.array(np.frombuffer(b"".join(known), self.dtype))
+        place = coded.indices.to_numpy()
+        taken = pa.LargeListArray.from_arrays(pa.array(starts), ids).take(coded.indices).flatten()
+        flat = taken.to_numpy().tobytes()
+        ends = pieces.offsets.to_numpy()
+        at = (_running(np.diff(starts)[place])[ends] * self.dtype.itemsize).tolist()
+        odd = np.diff(_running(open_ended[place])[ends]).tolist()
+        out = []
+        for k, text in enumerate(texts):
             if text and "\0" in text:
                 out.append(self._ids(text))
-                continue
-            try:
-                out.append(b"".join(map(get, pieces)))
-            except TypeError:
-                merged = self._merged(pieces)
-                self._learn({p for p in merged if p not in cache or cache[p] is None})
-                ids = [cache[p] for p in merged[:-1]]
-                last = cache[merged[-1]]
-                out.append(b"".join([*ids, self._ids(merged[-1]) if last is None else last]))
+            elif odd[k]:
+                out.append(self._encode_merged(text))
+            else:
+                out.append(flat[at[k] : at[k + 1]])
         return out
 
+    def _encode_merged(self, text: str) -> bytes:
+        """The ids of a text with runs of white space."""
+        get = self.cache.__getitem__
+        merged = self._merged(text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0"))
+        last = get(merged[-1])
+        return b"".join([*map(get, merged[:-1]), self._ids(merged[-1]) if last is None else last])
+
+
+def _running(sizes: np.ndarray) -> np.ndarray:
+    """The sums before each place, and the sum of all."""
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
 
 _encoders: dict[str | None, Encoder] = {}
 
