@@ -30,7 +30,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import crc32_of, held_out, ship_package, stored
+from tallyhouse.llm.common import crc32_of, free_name, held_out, ship_package, stored
 
 #: Insults to begin with; labelled texts add their own.
 LEXICON = (
@@ -150,17 +150,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
+def _weights(
+    counts: DataFrame, toxic: int, clean: int, max_tokens: int, least_count: int
+) -> dict[str, float]:
     """Log odds of the tokens that are clearly more frequent in toxic texts."""
     t, c = F.col("toxic"), F.col("clean")
     odds = F.log((t + 0.5) / (toxic + 1.0)) - F.log((c + 0.5) / (clean + 1.0))
     z = odds / F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
     chosen = (
-        counts.where(t >= LEAST_COUNT)
+        counts.where(t >= least_count)
         .select("token", odds.alias("odds"), z.alias("z"))
         .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= 1.0))
         .orderBy(F.col("z").desc(), "token")
-        .limit(MAX_TOKENS)
+        .limit(max_tokens)
     )
     return {r["token"]: r["odds"] for r in chosen.collect()}
 
@@ -177,24 +179,25 @@ class ToxicityModel:
     ):
         self.features, self.trees, self.curve, self.constant = features, trees, curve, constant
 
-    def _margin(self, docs: DataFrame, text_col: str) -> DataFrame:
-        rows = docs.withColumn("__tox_x", array_to_vector(_features(self.features)(F.col(text_col))))
-        out = self.trees.transform(rows)
-        rated = out.withColumn("__tox_m", vector_to_array("__tox_p")[1])
-        return rated.drop("__tox_x", "__tox_raw", "__tox_p", "__tox_y")
-
     def score(self, docs: DataFrame, text_col: str = "text", to: str = "score") -> DataFrame:
-        """docs with the column `to`: the probability that a text is toxic."""
+        """docs with the column `to`: the probability that a text is toxic.
+
+        Columns in between get names that docs does not have.
+        """
         ship_package(docs.sparkSession)
         if self.trees is None:
             return docs.withColumn(to, F.lit(float(self.constant)))
-        rated = self._margin(docs, text_col)
+        x, y, raw, p, m, s = (free_name(docs, f"__tox_{c}") for c in ("x", "y", "raw", "p", "m", "s"))
+        trees = self.trees.copy().setFeaturesCol(x).setPredictionCol(y)
+        trees = trees.setRawPredictionCol(raw).setProbabilityCol(p)
+        rows = docs.withColumn(x, array_to_vector(_features(self.features)(F.col(text_col))))
+        rated = trees.transform(rows).withColumn(m, vector_to_array(p)[1])
         if self.curve is not None:
-            rated = self.curve.transform(rated)
+            rated = self.curve.copy().setFeaturesCol(m).setPredictionCol(s).transform(rated)
         else:
-            rated = rated.withColumn("__tox_s", F.col("__tox_m"))
-        value = F.least(F.greatest(F.col("__tox_s"), F.lit(0.0)), F.lit(1.0))
-        return rated.withColumn(to, value).drop("__tox_m", "__tox_s")
+            rated = rated.withColumn(s, F.col(m))
+        value = F.least(F.greatest(F.col(s), F.lit(0.0)), F.lit(1.0))
+        return rated.withColumn(to, value).drop(x, y, raw, p, m, s)
 
 
 def fit(
@@ -205,11 +208,17 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     max_rows: int = MAX_ROWS,
+    max_tokens: int = MAX_TOKENS,
+    least_count: int = LEAST_COUNT,
     trees: int = 20,
     depth: int = 4,
     seed: int = 42,
 ) -> ToxicityModel:
-    """Fit on labelled rows that are not held out, about max_rows of them at most."""
+    """Fit on labelled rows that are not held out, about max_rows of them at most.
+
+    Of the words and of the beginnings that these rows show to be toxic, the max_tokens
+    clearest are learned, each seen least_count times or more in toxic rows.
+    """
     ship_package(docs.sparkSession)
     usable = (
         labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("toxic"))
@@ -244,7 +253,7 @@ def fit(
         .groupBy(F.col("token").substr(F.lit(1), F.col("size")).alias("token"))
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
-    features = Features(_weights(words, toxic, clean), _weights(begins, toxic, clean))
+    features = Features(*(_weights(c, toxic, clean, max_tokens, least_count) for c in (words, begins)))
     rows = stored(
         chosen.select(
             _features(features)(F.col("text")).alias("x"),

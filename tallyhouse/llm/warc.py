@@ -11,7 +11,9 @@ conversion; a block without an HTTP head is all body, taken as HTML; bytes that
 the stated character set become replacement characters; a null record id, target or date
 stays null, and then so does what refers to it; repeated rows give their records each time,
 with the same ids; an empty table gives no records; other columns are not read; pages are
-read whole.
+read whole, in time that grows with the page also where tags, titles or quotes are never
+closed. The character set is the header's or else the one stated in the first 2 048 bytes
+(`CHARSET_BYTES`; browsers look at 1 024), else UTF-8.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import json
 import re
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,7 +55,6 @@ HEADERS = {
     "content_length": "Content-Length",
 }
 
-TAG = r"""<[a-zA-Z/!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 HIDDEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I
 )
@@ -61,10 +63,14 @@ BREAKS = re.compile(
     r"header|hr|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^<>]*>",
     re.I,
 )
-TAGS, LOOSE = re.compile(TAG), re.compile(r"<[a-zA-Z/!?][^<>]*>")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+OPENING, LOOSE = re.compile(r"<[a-zA-Z/!?]"), re.compile(r"<[a-zA-Z/!?][^<>]*>")
+MARKS = re.compile("[>\"']")
+TITLE, TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+HTML, LANG = re.compile(r"<html\b", re.I), re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+ANCHOR, HREF = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=\s*", re.I)
+VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
+#: A page states its character set at its beginning or not at all.
+CHARSET_BYTES = 2048
 CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w-]+)", re.I)
 
 
@@ -73,11 +79,86 @@ def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
+def tags(page: str) -> Iterator[tuple[int, int]]:
+    """Where tags begin and end, from left to right; a > inside quotes ends none.
+
+    The marks are read once from the right, so that it is known from every mark on where
+    a tag ends: time grows with the page, however broken it is.
+    """
+    marks = [m.start() for m in MARKS.finditer(page)]
+    ends: list[int | None] = [None] * (len(marks) + 1)
+    after: dict[str, int] = {}  # the next mark of each kind
+    for k in range(len(marks) - 1, -1, -1):
+        kind = page[marks[k]]
+        if kind == ">":
+            ends[k] = marks[k] + 1
+        elif kind in after:
+            ends[k] = ends[after[kind] + 1]
+        after[kind] = k
+    done = 0
+    for opening in OPENING.finditer(page):
+        if opening.start() >= done:
+            end = ends[bisect_left(marks, opening.end())]
+            if end is not None:
+                yield opening.start(), end
+                done = end
+
+
+def without_tags(page: str) -> str:
+    parts, at = [], 0
+    for start, end in tags(page):
+        parts.append(page[at:start])
+        at = end
+    return "".join([*parts, page[at:]])
+
+
+def title_of(page: str) -> str | None:
+    """The first title. If its tag or its end is missing, so are those of all later ones."""
+    opening = TITLE.search(page)
+    start = page.find(">", opening.end()) if opening else -1
+    end = TITLE_END.search(page, start + 1) if start >= 0 else None
+    return " ".join(html.unescape(page[start + 1 : end.start()]).split()) if end else None
+
+
+def lang_of(page: str) -> str | None:
+    """The language that the first html tag with one states."""
+    ends = [m.start() for m in re.finditer(">", page)]
+    found = [*LANG.finditer(page)]
+    starts = [m.start() for m in found]
+    for opening in HTML.finditer(page):
+        k = bisect_left(starts, opening.end())
+        if k == len(found):
+            return None
+        if bisect_left(ends, opening.end()) == bisect_left(ends, starts[k]):
+            return found[k][1]
+    return None
+
+
+def links_of(page: str) -> list[str]:
+    """The targets of all anchors, in order."""
+    ends = [m.start() for m in re.finditer(">", page)]
+    hrefs = [*HREF.finditer(page)]
+    starts = [m.start() for m in hrefs]
+    out, done = [], 0
+    for anchor in ANCHOR.finditer(page):
+        if anchor.start() < done:
+            continue
+        last = bisect_left(ends, anchor.end())
+        stop = ends[last] if last < len(ends) else len(page)
+        for k in range(bisect_left(starts, anchor.end()), bisect_left(starts, stop)):
+            # Only before a > or the end of the page there is no value, so this ends soon.
+            if value := VALUE.match(page, hrefs[k].end()):
+                out.append(html.unescape(value[1] or value[2] or value[3] or ""))
+                done = value.end()
+                break
+    return out
+
+
 def plain_text(page: str) -> str:
     """The visible text of a page: one line per block, white space collapsed, no empty lines."""
     source = HIDDEN.sub(" ", page).replace("\n", " ").replace("\r", " ")
     shown = BREAKS.sub("\n", source)
-    shown = html.unescape(LOOSE.sub("", TAGS.sub("", shown)))
+    shown = html.unescape(LOOSE.sub("", without_tags(shown)))
     lines = (" ".join(line.split()) for line in shown.split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -124,7 +205,9 @@ def decoded(headers: list[tuple[str, str]], body: bytes) -> bytes:
 
 
 def _characters(content_type: str, body: bytes) -> str:
-    found = CHARSET.search(content_type.encode("latin-1", "replace")) or CHARSET.search(body[:2048])
+    found = CHARSET.search(content_type.encode("latin-1", "replace")) or CHARSET.search(
+        body[:CHARSET_BYTES]
+    )
     try:
         return body.decode(found[1].decode() if found else "utf-8", "replace")
     except LookupError:
@@ -160,11 +243,9 @@ def derivatives(
         if content_type.lower().startswith("text/plain"):
             text = "\n".join(s for line in page.splitlines() if (s := " ".join(line.split())))
         else:
-            title = TITLE.search(page)
-            lang = LANG.search(page)
-            facts["title"] = " ".join(html.unescape(title[1]).split()) if title else None
-            facts["lang"] = lang[1] if lang else None
-            facts["links"] = [html.unescape("".join(link)) for link in LINK.findall(page)]
+            facts["title"] = title_of(page)
+            facts["lang"] = lang_of(page)
+            facts["links"] = links_of(page)
             text = plain_text(page)
         facts["text_digest"] = digest(text.encode())
         out.append(_record("conversion", record_id, target, date, "text/plain", payload, text))

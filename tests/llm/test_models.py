@@ -169,6 +169,31 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_columns_of_any_name_survive_scoring(make):
+    clean = [(i, f"a quiet text number {i} about gardens", None, None, None) for i in range(120)]
+    bad = [(200 + i, f"you are an idiot and a moron {i}", None, None, None) for i in range(60)]
+    labels = make([(i, 1, 0) for i in range(120)] + [(200 + i, 0, 1) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(make(clean + bad), labels)
+    names = [f"__tox_{c}" for c in ("x", "y", "raw", "p", "m", "s")]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(1, "What an idiot you are", *names), (2, "gardens", *names)]
+    scored = model.score(make(rows, schema))
+    assert scored.columns == ["doc_id", "text", *names, "score"]
+    assert [tuple(r)[2:-1] for r in scored.orderBy("doc_id").collect()] == [tuple(names)] * 2
+    assert [r.score >= 0.5 for r in scored.orderBy("doc_id").collect()] == [True, False]
+
+
+def test_learned_words_are_the_clearest_above_the_least_count(make):
+    rows = [("aa", 40, 0), ("bb", 30, 0), ("cc", 9, 0), ("dd", 30, 30), ("ee", 0, 90)]
+    counts = make(rows, "token string, toxic long, clean long")
+    kept = toxicity._weights(counts, 109, 5000, 10, 9)
+    odds = {t: math.log((x + 0.5) / 110) - math.log((c + 0.5) / 5001) for t, x, c in rows}
+    assert kept == pytest.approx({t: odds[t] for t in kept}) and {"aa", "bb", "dd"} <= set(kept)
+    assert "ee" not in kept
+    assert set(toxicity._weights(counts, 109, 5000, 1, 9)) == {max(kept, key=lambda t: odds[t] / math.sqrt(1 / (dict((a, b) for a, b, _ in rows)[t] + 0.5) + 1 / (dict((a, c) for a, _, c in rows)[t] + 0.5)))}
+    assert not toxicity._weights(counts, 109, 5000, 10, 41)
+
+
 def test_odd_documents_toxicity(make, odd_documents, no_documents):
     clean = [(i, f"a quiet text number {i} about gardens", None, None, None) for i in range(120)]
     bad = [(200 + i, f"you are an idiot and a moron {i}", None, None, None) for i in range(60)]

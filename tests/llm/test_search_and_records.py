@@ -2,6 +2,9 @@
 
 import json
 import math
+import random
+import re
+import time
 from html.parser import HTMLParser
 
 import numpy as np
@@ -137,6 +140,34 @@ def test_derivatives_of_all_pages(spark):
             assert "<script" not in r.block and "\n\n" not in r.block
 
 
+OLD_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+OLD_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+OLD_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+OLD_TAG = re.compile(r"""<[a-zA-Z/!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+
+
+def test_linear_readers_equal_their_patterns():
+    """Each reader finds what one regular expression would, which is too slow for long pages."""
+    rng = random.Random(5)
+    parts = ["<a ", "<A\n", "href=", " href = ", "HREF='", '"', "'", ">", "x", " ", "<html ", "lang=", "lang='de", "<title", "</title >", "<title>", "<b", "/", "=", "ahref="]
+    for _ in range(4000):
+        page = "".join(rng.choices(parts, k=rng.randint(1, 25)))
+        assert warc.links_of(page) == ["".join(x) for x in OLD_LINK.findall(page)], page
+        lang = OLD_LANG.search(page)
+        assert warc.lang_of(page) == (lang[1] if lang else None), page
+        title = OLD_TITLE.search(page)
+        assert warc.title_of(page) == (" ".join(title[1].split()) if title else None), page
+        assert warc.without_tags(page) == OLD_TAG.sub("", page), page
+
+
+@pytest.mark.parametrize("part", ["<a ", "<title>", "<html ", '<a "', "<a '\"", "<a href= ", "</title ", "<!--", "<script ", "<p"])
+def test_broken_pages_take_time_in_proportion(part):
+    page = part * (900_000 // len(part))
+    started = time.perf_counter()
+    warc.derivatives("r", None, None, page.encode())
+    assert time.perf_counter() - started < 10
+
+
 def test_warc_files_round_trip(spark):
     rows = registry.QUERIES["op2_warc"](spark, SMALL)
     path = scratch_path(spark, "warc")
