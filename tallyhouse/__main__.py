@@ -22,6 +22,7 @@ def main(arguments: Sequence[str] | None = None) -> Warehouse:
     parser.add_argument("--format", default="csv", choices=["csv", "json", "parquet", "orc"])
     parser.add_argument("--safe-casts", action="store_true", help="NULL for values of a wrong type")
     parser.add_argument("--lenient", action="store_true", help="only report broken constraints")
+    parser.add_argument("--collation", help="order of product descriptions, e.g. UNICODE; default bytes")
     parser.add_argument("--report", action="store_true", help="also store the report sets")
     options = parser.parse_args(arguments)
 
@@ -33,6 +34,7 @@ def main(arguments: Sequence[str] | None = None) -> Warehouse:
         options.root,
         on_violation="report" if options.lenient else "fail",
         safe_casts=options.safe_casts,
+        collation=options.collation,
     )
     if options.report:
         write_report(warehouse)

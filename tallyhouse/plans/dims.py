@@ -108,11 +108,15 @@ def hours(stg_movimientos_inventario: DataFrame, stg_ventas_header: DataFrame) -
     )
 
 
-def products(stg_productos: DataFrame) -> DataFrame:
+def products(stg_productos: DataFrame, collation: str | None = None) -> DataFrame:
+    """Products by code, else by description; of several the first by description.
+
+    Descriptions are in the order of a collation, such as UNICODE or es, or of their bytes.
+    """
     described = stg_productos.where("descripcion IS NOT NULL")
     code = blank_to_null("codigo")
     identity = F.coalesce(code, F.trim("descripcion"))
-    return first_per_key(described, identity, ["descripcion"]).select(
+    return first_per_key(described, identity, ["descripcion"], collation).select(
         F.coalesce(code, F.lit(NO_CODE)).alias("codigo"),
         blank_to_null("nro_original").alias("nro_original"),
         F.trim("descripcion").alias("descripcion"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import money, overflows, whole
 from tallyhouse.functions.text import after_prefix
-from tallyhouse.operators.joins import optional_lookup
+from tallyhouse.operators.joins import optional_lookup, spread_join
 from tallyhouse.plans.dims import reason
 
 # Columns of the stored facts; the first of each list is the generated key.
@@ -105,7 +105,7 @@ def purchase_lines(
         .join(supplier, "proveedor_documento")
         .select("numero", "sk_fecha", "sk_proveedor")
     )
-    lines = stg_compras_detalle.join(_product_keys(dim_producto), "product_codigo")
+    lines = spread_join(stg_compras_detalle, _product_keys(dim_producto), "product_codigo")
     return _with_header(lines, header).select(
         "numero",
         "sk_fecha",
@@ -165,7 +165,7 @@ def sale_lines(
     product = _product_keys(dim_producto, "costo_usd", "precio_venta_usd")
     price = F.col("precio_unitario") / F.col("rate")
     subtotal = F.col("subtotal") / F.col("rate")
-    lines = stg_ventas_detalle.join(product, "product_codigo")
+    lines = spread_join(stg_ventas_detalle, product, "product_codigo")
     return _with_header(lines, header).select(
         "fecha",
         "sk_fecha",
@@ -208,10 +208,10 @@ def movement_lines(
         whole(F.col("stock_nuevo")).alias("stock_resultante"),
     )
     resolved = (
-        moves.join(_calendar_keys(dim_tiempo), "fecha")
+        spread_join(moves, _product_keys(dim_producto), "product_codigo")
+        .join(_calendar_keys(dim_tiempo), "fecha")
         .join(_hour_keys(dim_hora), "hora")
         .join(kind, ["tipo", "motivo"])
-        .join(_product_keys(dim_producto), "product_codigo")
     )
     sign = F.col("signo_stock")
     return resolved.select(

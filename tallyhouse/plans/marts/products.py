@@ -7,6 +7,8 @@ from tallyhouse.functions.money import TOTAL, fixed, percent, total
 from tallyhouse.operators.ranks import top_by_any
 
 ATTRIBUTES = ["codigo", "descripcion", "marca", "categoria"]
+# What a product of the margin mart is, from the coarsest on.
+KEYS = ["categoria", "marca", "codigo"]
 TOP = 10
 
 
@@ -71,37 +73,55 @@ def margin_columns(revenue: Column, cost: Column) -> dict[str, Column]:
     return {"margen_usd": margin, "margen_pct": percent(margin, revenue)}
 
 
-def margin_by_level(sales_by_product: DataFrame, dim_producto: DataFrame) -> DataFrame:
-    """Margin per product, brand and category, from sales already summed per product."""
+def margin_by_level(
+    sales_by_product: DataFrame, dim_producto: DataFrame, collation: str | None = None
+) -> DataFrame:
+    """Margin per product, brand and category, from sales already summed per product.
+
+    Rows are summed per product once; brands and categories add up products, whose
+    description, the largest in a collation or by bytes, is the largest of their largest.
+    """
     sold = sales_by_product.join(dim_producto, "sk_producto").select(
         *ATTRIBUTES,
         "unidades",
         "ingreso",
         (F.col("unidades") * F.col("costo_usd")).cast(TOTAL).alias("costo"),
     )
-    category, brand, code = F.col("categoria"), F.col("marca"), F.col("codigo")
-    levels = sold.groupingSets(
-        [(category, brand, code), (brand,), (category,)], category, brand, code
-    ).agg(
-        F.when(F.grouping("codigo") == 0, "PRODUCTO")
-        .when(F.grouping("marca") == 0, "MARCA")
-        .otherwise("CATEGORIA")
-        .alias("nivel"),
-        F.max("descripcion").alias("descripcion"),
-        F.sum("unidades").alias("unidades_vendidas"),
-        total(F.col("ingreso")).alias("ingreso_usd"),
-        total(F.col("costo")).alias("costo_mercancia_usd"),
+
+    text = F.col("descripcion")
+    largest = F.max(text)
+    if collation:
+        # Texts that the collation takes for equal are told apart by their bytes.
+        rank = F.when(text.isNotNull(), F.struct(F.collate(text, collation).alias("c"), text.alias("t")))
+        largest = F.max(rank)["t"]
+
+    def summed(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(
+            largest.alias("descripcion"),
+            F.sum("unidades").alias("unidades"),
+            total(F.col("ingreso")).alias("ingreso"),
+            total(F.col("costo")).alias("costo"),
+        )
+
+    def level(name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.lit(name).alias("nivel"),
+            *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in KEYS],
+            "descripcion",
+            F.col("unidades").alias("unidades_vendidas"),
+            F.col("ingreso").alias("ingreso_usd"),
+            F.col("costo").alias("costo_mercancia_usd"),
+        )
+
+    products = summed(sold, *KEYS)
+    levels = (
+        level("PRODUCTO", products)
+        .unionAll(level("MARCA", summed(products, "marca")))
+        .unionAll(level("CATEGORIA", summed(products, "categoria")))
     )
     margin = margin_columns(F.col("ingreso_usd"), F.col("costo_mercancia_usd"))
     return levels.select(
-        "nivel",
-        "categoria",
-        "marca",
-        "codigo",
-        "descripcion",
-        "unidades_vendidas",
-        "ingreso_usd",
-        "costo_mercancia_usd",
+        "*",
         margin["margen_usd"].alias("margen_usd"),
         margin["margen_pct"].alias("margen_pct_sobre_ingreso"),
         percent(margin["margen_usd"], F.col("costo_mercancia_usd")).alias("markup_pct_sobre_costo"),

@@ -52,6 +52,7 @@ def run_pipeline(
     on_violation: str = "fail",
     safe_casts: bool = False,
     threads: int = 4,
+    collation: str | None = None,
 ) -> Warehouse:
     """Rebuild the warehouse under root and return it.
 
@@ -60,13 +61,14 @@ def run_pipeline(
     input leaves the same tables. With publish they are also registered as
     staging.*, core.* and marts.* for SQL. on_violation="fail" stops before the
     marts when a declared constraint is broken; "report" only logs the counts. A
-    run that ends drops earlier versions and tables that it no longer has.
+    run that ends drops earlier versions and tables that it no longer has. A collation
+    orders product descriptions as a database with it would.
     """
     if on_violation not in ("report", "fail"):
         raise ValueError("on_violation is 'report' or 'fail'")
     store = Store(spark, root)
     staging = load_staging(spark, specs, store, safe_casts)
-    warehouse = Warehouse(staging, store)
+    warehouse = Warehouse(staging, store, collation)
     if publish:
         for name, df in staging.items():
             store.publish("staging", name, df)

@@ -14,6 +14,8 @@ from tallyhouse.plans.rollups import distinct_invoices
 BAND = (22.5, 23.5)
 GRANULARITIES = ["DIA", "SEMANA", "MES", "ANIO"]
 CURRENCIES = ["BS", "USD", "COP"]
+# Columns that the currency pivot may have.
+MOST_CURRENCIES = 50
 HALF_YEAR = 6
 
 COUNTED = {
@@ -63,7 +65,7 @@ def sales_totals(w) -> DataFrame:
 
 
 def table_counts(w) -> DataFrame:
-    """Rows per table; a line table has exactly the rows of its fact."""
+    """Rows per table."""
     counts = [
         w[table].agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), "filas")
         for name, table in COUNTED.items()
@@ -355,28 +357,50 @@ def ticket_spread(w) -> DataFrame:
     )
 
 
+def currencies_present(w) -> list[str]:
+    """Currencies of the monthly mix in lower case: the model's in their order, then others.
+
+    They become columns, so more than MOST_CURRENCIES fail the report.
+    """
+    names = w["p18_mix_monedas_mensual"].select(F.lower("moneda").alias("moneda")).distinct()
+    found = {row["moneda"] for row in names.limit(MOST_CURRENCIES + 1).collect()}
+    if len(found) > MOST_CURRENCIES:
+        raise ValueError(f"more than {MOST_CURRENCIES} currencies for one pivot")
+    known = [c.lower() for c in CURRENCIES]
+    return known + sorted(found.difference(known))
+
+
 def currency_share_pivot(w) -> DataFrame:
     """Share of each currency per month, zero where it was not used."""
+    currencies = currencies_present(w)
     share = (
         w["p18_mix_monedas_mensual"]
+        .withColumn("moneda", F.lower("moneda"))
         .groupBy("mes_inicio")
-        .pivot("moneda", CURRENCIES)
-        .agg(F.first("pct_del_mes"))
+        .pivot("moneda", currencies)
+        .agg(F.sum("pct_del_mes"))
     )
-    zero = F.lit(0).cast("decimal(18,2)")
+    none = F.lit(0)
     return share.select(
-        "mes_inicio", *[F.coalesce(c, zero).alias(c.lower()) for c in CURRENCIES]
+        "mes_inicio",
+        *[F.coalesce(F.col(f"`{c}`"), none).cast("decimal(18,2)").alias(c) for c in currencies],
     )
 
 
 def currency_stack_offsets(w) -> DataFrame:
     """Where each currency's bar starts when the shares of a month are stacked."""
     share = currency_share_pivot(w)
-    bottom, columns = F.lit(0).cast("decimal(18,2)"), []
-    for c in CURRENCIES:
-        columns.append(bottom.alias(f"base_{c.lower()}"))
-        bottom = (bottom + F.col(c.lower())).cast("decimal(18,2)")
-    return share.select("mes_inicio", *columns, bottom.alias("tope"))
+    zero = F.lit(0).cast("decimal(18,2)")
+    currencies = share.columns[1:]
+    tops = F.aggregate(
+        F.array(*[F.col(f"`{c}`") for c in currencies]),
+        F.array(zero),
+        lambda held, x: F.concat(held, F.array((F.element_at(held, -1) + x).cast("decimal(18,2)"))),
+    )
+    bases = [F.get("tops", F.lit(k)).alias(f"base_{c}") for k, c in enumerate(currencies)]
+    return share.select("mes_inicio", tops.alias("tops")).select(
+        "mes_inicio", *bases, F.element_at("tops", -1).alias("tope")
+    )
 
 
 # Exchange rates ------------------------------------------------------------------------------

@@ -70,7 +70,9 @@ MARTS: dict[str, Callable[["Warehouse"], DataFrame]] = {
         w["dim_producto"],
         w.store,
     ),
-    "p04_margen": lambda w: products.margin_by_level(w["sales_by_product"], w["dim_producto"]),
+    "p04_margen": lambda w: products.margin_by_level(
+        w["sales_by_product"], w["dim_producto"], w.collation
+    ),
     "p06_inventario_muerto": lambda w: stock.dead_stock(
         w["dim_producto"], w["sales_by_product"], w["stock_by_product"]
     ),
@@ -106,11 +108,17 @@ CORE = [*DIMS, *facts.FACT_LINES]
 
 
 class Warehouse:
-    """Tables by name. w["dim_producto"] builds and stores the table the first time."""
+    """Tables by name. w["dim_producto"] builds and stores the table the first time.
+
+    Product descriptions are compared by their bytes or, as a database may do, by a collation.
+    """
 
-    def __init__(self, staging: Mapping[str, DataFrame], store: Store):
+    def __init__(
+        self, staging: Mapping[str, DataFrame], store: Store, collation: str | None = None
+    ):
         self.staging = staging
         self.store = store
+        self.collation = collation
         self._tables: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.RLock] = {}
         self._guard = threading.Lock()
@@ -132,7 +140,8 @@ class Warehouse:
     def dimension(self, name: str) -> DataFrame:
         """Dimension rows before keys are assigned."""
         build, inputs = DIMS[name]
-        return build(*[self[i] for i in inputs])
+        options = {"collation": self.collation} if build is dims.products else {}
+        return build(*[self[i] for i in inputs], **options)
 
     def lines(self, name: str) -> DataFrame:
         build, inputs = LINES[name]

@@ -4,8 +4,10 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from tallyhouse.plans.quality import quality_checks
+from tallyhouse.plans.report import currency_share_pivot, currency_stack_offsets
 from tallyhouse.plans.store import Store
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources.specs import SCHEMAS
@@ -233,3 +235,35 @@ def test_quality_counts(usual):
         ("stg_ventas_header", "usuario", "sin_referencia"): 1,
         ("stg_compras_header", "proveedor_documento", "sin_referencia"): 1,
     }
+
+
+def test_a_fourth_currency_is_part_of_the_pivot(usual):
+    shares = currency_share_pivot(usual)
+    assert shares.columns == ["mes_inicio", "bs", "usd", "cop", "eur"]
+    (share,) = shares.collect()
+    assert share.eur > 0 and share.cop == 0 and abs(sum(share[1:]) - 100) < Decimal("0.05")
+    (offset,) = currency_stack_offsets(usual).collect()
+    assert offset.base_bs == 0 and offset.base_usd == share.bs
+    assert offset.base_eur == share.bs + share.usd + share.cop
+    assert offset.tope == sum(share[1:])
+
+
+def test_descriptions_follow_bytes_or_a_collation(spark, tmp_path):
+    texts = ["\u00e1", "B", "a", "z"]
+    products = [("P1", None, t, "M", 1.0, 2.0) for t in texts[:3]]
+    products += [(f"Q{i}", None, t, "N", 1.0, 2.0) for i, t in enumerate(texts[:3])]
+    tables = rows(stg_productos=products)
+    tables["stg_ventas_detalle"] = [("F2", f"Q{i}", 1.0, 1.0, 1.0) for i in range(3)]
+
+    def built(collation):
+        staging = {
+            name: spark.createDataFrame(data, T.StructType.fromDDL(SCHEMAS[name]))
+            for name, data in tables.items()
+        }
+        w = Warehouse(staging, Store(spark, str(tmp_path / str(collation))), collation)
+        chosen = w["dim_producto"].where("codigo = 'P1'").first().descripcion
+        brand = w["p04_margen"].where("nivel = 'MARCA' AND marca = 'N'").first().descripcion
+        return chosen, brand
+
+    assert built(None) == ("B", "\u00e1")  # upper case first, accents last
+    assert built("UNICODE") == ("a", "B")  # a, then a with an accent, then b

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dedup import first_per_key
-from tallyhouse.operators.joins import optional_lookup
+from tallyhouse.operators.joins import heavy_keys, optional_lookup, spread_join
 from tallyhouse.operators.keys import assign_keys
 from tallyhouse.operators.quantiles import quantile_per_group
 from tallyhouse.operators.ranks import top_by_any
@@ -103,6 +103,50 @@ def test_optional_lookup_spreads_rows_without_key(spark):
     assert max(r["count"] for r in sizes) < 3000
 
 
+def lines_of_a_hot_product(spark, store, hot_rows):
+    """Rows with one key in half of them, stored; some keys have two partners, one has none."""
+    hot = spark.range(hot_rows).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    cold = spark.range(hot_rows).select(F.concat(F.lit("k"), F.col("id") % 3000).alias("k"), F.lit(2).alias("v"))
+    lines = store.save("work", "lines", hot.unionAll(cold).repartition(4))
+    partners = [("hot", 1), ("hot", 2), (None, 3), ("none", 4)] + [(f"k{i}", i) for i in range(2990)]
+    return lines, spark.createDataFrame(partners, "k string, sk int")
+
+
+def test_a_heavy_key_is_dealt_to_many_tasks(spark, store):
+    lines, dim = lines_of_a_hot_product(spark, store, 30_000)
+    assert heavy_keys(lines, "k") == ["hot"]
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = spread_join(lines, dim, "k")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        plain = lines.join(dim, "k")
+        alone = [r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(sizes) == 16 and max(sizes) <= 3 * sorted(sizes)[8]
+    assert max(alone) > 3 * sorted(alone)[8]
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
+    assert joined.columns == plain.columns
+
+
+def test_without_heavy_keys_the_join_is_plain(spark, store):
+    rows = [(f"k{i % 60}", i) for i in range(600)] + [(None, -1)] * 900
+    lines = store.save("work", "lines", spark.createDataFrame(rows, "k string, v int"))
+    dim = spark.createDataFrame([(f"k{i}", i) for i in range(50)] + [(None, 0)], "k string, sk int")
+    assert heavy_keys(lines, "k") == []
+    assert heavy_keys(lines.limit(0), "k") == []
+    joined = spread_join(lines, dim, "k")
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, lines.join(dim, "k").collect()))
+
+
 def test_planning_twice_leaves_the_first_plan_readable(spark, store):
     rows = store.save("work", "rows", spark.range(50).select(F.col("id").alias("a")))
     first = assign_keys(rows, ["a"], "sk", store, "t")

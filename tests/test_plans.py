@@ -115,6 +115,11 @@ def test_scans_are_pruned(warehouse):
     }
 
 
+def test_coarser_margins_add_up_products(warehouse):
+    text = plan(warehouse.plan("p04_margen"))
+    assert "Expand" not in text
+
+
 def test_marts_read_rollups_only(warehouse):
     heavy = {"p01_top_productos"}
     for name in set(MARTS) - heavy:
