@@ -36,9 +36,9 @@ from tallyhouse.llm.common import ship_package, stored
 from tallyhouse.llm.tokens import BYTE_LETTERS, Encoder, PieceCache, default_tokenizer, packed
 
 #: Characters and texts that are aligned at once.
-BATCH_CHARS, BATCH_ROWS = 400_000, 4_000
+BATCH_CHARS, BATCH_ROWS = 600_000, 4_000
 #: Pieces that one worker holds of each side.
-MAX_PIECES_A, MAX_PIECES_B = 300_000, 150_000
+MAX_PIECES_A, MAX_PIECES_B = 700_000, 400_000
 SPACE_PIECE = "▁"
 CUT = re.compile("\n[^ \n]*| +[^ \n]*")
 

@@ -13,16 +13,21 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), mixed).first())
 
 
+# A node with very many neighbours is a skewed join key. Adaptive execution splits those of a
+# join of two plain shuffles, but not where one side is an aggregate over its own shuffle: so
+# the least neighbours are stored before the links meet them.
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    # A node with very many neighbours is a skewed join key, which adaptive execution splits.
+    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(least.withColumn("m", F.least("a", "m")), "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -41,6 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
         if not now[0]:
             break
-        links = stored(_small_star(_large_star(links)).where("a != b").distinct(), "links")
+        stars = stored(_large_star(links).where("a != b").distinct(), "stars")
+        links = stored(_small_star(stars).where("a != b").distinct(), "links")
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

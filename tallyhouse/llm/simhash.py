@@ -299,7 +299,9 @@ def near_duplicates(
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Stored, so that a large component, a skewed key of the joins to come, can be split.
+    rooted = stored(rooted, "rooted")
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     named = rooted.join(smallest, "root").select("fp", "component_id", "root")
     return prints.join(named, "fp").select("doc_id", FILE, ROW, "fp", "component_id", "root")
 

@@ -111,6 +111,7 @@ def _linked(messages: DataFrame) -> DataFrame:
         .groupBy("conv", "hash")
         .agg(F.min(F.struct("place", FILE, ROW)).alias("original"))
     )
+    first = stored(first, "originals")  # as a plain shuffle, a passage quoted very often is split
     quoted = said.where(F.col("level") > 0)
     earlier = (quoted["conv"] == first["conv"]) & (quoted["hash"] == first["hash"])
     found = quoted.join(first, earlier & (F.col("original.place") < F.col("place")), "left")
@@ -201,7 +202,8 @@ def link_replies(
     )
     order = ["conv", "root_place", "root_file", "root_row", "depth", "place", FILE, ROW]
     ordered, _ = numbered(placed, order, "replies")
-    start = ordered.groupBy("conv").agg(F.min("index").alias("start")).withColumnRenamed("conv", "c")
+    start = ordered.groupBy(F.col("conv").alias("c")).agg(F.min("index").alias("start"))
+    start = stored(start, "starts")
     return ordered.join(start, F.col("conv").eqNullSafe(F.col("c"))).select(
         F.col("conv").alias(conv_col),
         F.col("place").alias(place_col),

@@ -4,9 +4,9 @@ A vector's components become floor(scale * x). For segments of a vector, the inn
 of two vectors is the sum of l * mean * mean plus the product of the deviations from the
 means, and the latter is at most the product of their norms (that is, the distance is at
 least what means and deviations say). So a few numbers per vector bound a score. Bounds
-are taken with 1, 4 and 16 segments; after each level the best candidates by bound are
+are taken with 1, 4, 16 and 32 segments; after each level the best candidates by bound are
 scored, which raises what a candidate must reach, and the others are dropped for good.
-Survivors are scored exactly in whole numbers.
+Rows that survive for some query are scored exactly, in one matrix product.
 
 The stated queries meet all rows in blocks: queries in blocks of `query_block`, rows dealt
 into parts of about `row_block`; each pair of blocks is one group, which returns its best k
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import FILE, ROW, with_row_key
 
-LEVELS = (1, 4, 16)
+LEVELS = (1, 4, 16, 32)
+#: After each level so many times k candidates are scored to raise what the others must reach.
+PROBES = 16
 RESULT = f"{FILE} long, {ROW} long, query_id long, vec_id long, score long"
 
 
@@ -49,30 +51,51 @@ def _features(x: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([means * np.sqrt(sizes), norms], axis=1)
 
 
+def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """All inner products, exactly: in doubles where every sum stays below 2^53."""
+    most = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * rows.shape[1]
+    if most < 1 << 53:
+        return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
+    return queries @ rows.T
+
+
 def best(
-    queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    rows: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    shares: list[float] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row, score) of every candidate that may be among a query's k best."""
+    """(query, row, score) of every candidate that may be among a query's k best.
+
+    A level looks only at rows that are alive for some query. shares collects the share of
+    all pairs that is alive after each level.
+    """
     alive = query_ids[:, None] != ids[None, :]
     least = np.full(len(queries), -np.inf)
-    if rows.shape[1] and rows.shape[0]:
-        for segments in LEVELS:
-            fq, fx = _features(queries, segments), _features(rows, segments)
-            bound = fq @ fx.T
-            # Room for rounding: the bound is never below the true score.
-            slack = 1e-9 * np.linalg.norm(fq, axis=1)[:, None] * np.linalg.norm(fx, axis=1).max() + 1e-6
-            bound = np.where(alive, bound + slack, -np.inf)
-            if bound.shape[1] >= k:
-                top = np.argpartition(-bound, k - 1, axis=1)[:, :k]
-                scored = np.einsum("qd,qkd->qk", queries, rows[top]).astype(np.float64)
-                scored[~np.take_along_axis(alive, top, axis=1)] = -np.inf
-                least = np.maximum(least, scored.min(axis=1))
-            alive &= bound >= least[:, None]
-    q, r = np.nonzero(alive)
-    score = np.empty(len(q), np.int64)
-    for at in range(0, len(q), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        score[part] = np.einsum("nd,nd->n", queries[q[part]], rows[r[part]])
+    for segments in LEVELS if rows.shape[1] and rows.shape[0] else ():
+        left = np.flatnonzero(alive.any(axis=0))
+        if len(left) < k:
+            break
+        some, mask = rows[left], alive[:, left]
+        fq, fx = _features(queries, segments), _features(some, segments)
+        # Room for rounding: the bound is never below the true score.
+        slack = 1e-9 * np.linalg.norm(fq, axis=1) * np.linalg.norm(fx, axis=1).max() + 1e-6
+        bound = fq @ fx.T + slack[:, None]
+        bound[~mask] = -np.inf
+        tried = min(len(left), PROBES * k)
+        top = np.argpartition(-bound, tried - 1, axis=1)[:, :tried]
+        scored = np.einsum("qd,qkd->qk", queries, some[top]).astype(np.float64)
+        scored[~np.take_along_axis(mask, top, axis=1)] = -np.inf
+        least = np.maximum(least, -np.partition(-scored, k - 1, axis=1)[:, k - 1])
+        alive[:, left] = mask & (bound >= least[:, None])
+        if shares is not None:
+            shares.append(float(alive.mean()))
+    left = np.flatnonzero(alive.any(axis=0))
+    products = _products(queries, rows[left])
+    q, at = np.nonzero(alive[:, left])
+    r, score = left[at], products[q, at]
     order = np.lexsort((ids[r], -score, q))
     q, r, score = q[order], r[order], score[order]
     first = np.searchsorted(q, q)

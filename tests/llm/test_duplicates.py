@@ -247,3 +247,18 @@ def test_index_takes_more_and_forgets(make):
         else:
             rows = 1 + (0 if i >= 40 else len(range(i, 90, 40)))
             assert (entry.keep_id, entry.rows) == (500 + i, rows)
+
+
+def test_star_joins_meet_stored_tables(spark, make):
+    """Both sides of the join on a node are plain shuffles, so a hot node can be split."""
+    edges = stored(make([(0, i) for i in range(1, 400)] + [(7, 500)], "a long, b long"), "edges")
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        large = components._large_star(edges)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in large and "HashAggregate" not in large
+        roots = {r.node: r.root for r in components.components(edges).collect()}
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    assert set(roots.values()) == {0} and len(roots) == 401
