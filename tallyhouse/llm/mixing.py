@@ -20,7 +20,9 @@ whole. Reruns agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import warnings
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import FILE, ROW, WORD, numbered, stored, with_row_key
@@ -80,7 +82,9 @@ def solve(
     """Per source s the lambda that meets its target, with the mean size it refers to.
 
     Newton on the logarithm of the tokens, which is nearly straight in lambda; a step that
-    leaves the bracket of the solution is replaced by its middle.
+    leaves the bracket of the solution is replaced by its middle. Sums are decimals, which
+    do not depend on the order in which they are added up. Warns if a source is still off
+    by more than the tolerance after the last step.
     """
     live = targets.where("source_size > 0 AND target > 0")
     unit = F.col("source_size") / F.col("filled")
@@ -99,6 +103,10 @@ def solve(
         ),
         "lambda",
     )
+    def added(value: Column) -> Column:
+        return F.sum(value.cast("decimal(38,8)")).cast("double")
+
+    worst = None
     x = F.col("size") / F.col("unit")
     tilt = F.exp(F.col("lam") * x)
     for _ in range(max_steps):
@@ -107,8 +115,8 @@ def solve(
             cells.join(state.select("s", "lam", "unit"), "s")
             .groupBy("s")
             .agg(
-                F.sum(tokens * F.least(tilt, F.lit(float(cap)))).alias("f"),
-                F.sum(F.when(tilt < cap, tokens * x * tilt).otherwise(0.0)).alias("slope"),
+                F.greatest(added(tokens * F.least(tilt, F.lit(float(cap)))), F.lit(1e-8)).alias("f"),
+                added(F.when(tilt < cap, tokens * x * tilt).otherwise(0.0)).alias("slope"),
             )
         )
         gap = F.log(F.col("f") / F.col("target"))
@@ -131,6 +139,8 @@ def solve(
         worst = state.agg(F.max(F.abs("gap"))).first()[0]
         if worst is None or worst <= tolerance:
             break
+    else:
+        warnings.warn(f"a source is off its target by {worst:.1e} in logarithm", stacklevel=2)
     return state.select("s", "lam", "unit")
 
 

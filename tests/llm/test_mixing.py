@@ -2,6 +2,7 @@
 
 import math
 import re
+import warnings
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -125,3 +126,15 @@ def test_no_python_in_the_plan(spark, capsys):
     registry.QUERIES["op7_mixing"](spark, SMALL).explain("simple")
     text = capsys.readouterr().out
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
+
+
+def test_a_solution_that_is_not_reached_is_told(make):
+    cells = make([(0, 1, 10), (0, 7, 5)], "s int, size long, n long")
+    targets = make([(0, 45, 15, 1, 60.0)], "s int, source_size long, filled long, shortest long, target double")
+    with pytest.warns(UserWarning, match="off its target"):
+        mixing.solve(cells, targets, max_steps=1)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        lam = mixing.solve(cells, targets).first().lam
+    taken = sum(size * n * min(math.exp(lam * size / 3), 3) for size, n in ((1, 10), (7, 5)))
+    assert taken == pytest.approx(60, rel=1e-6)
