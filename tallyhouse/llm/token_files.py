@@ -130,7 +130,7 @@ def read_tokens(
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("ids")
-        values = ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
+        values = ids.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
         ends = ids.offsets.to_numpy().tolist()
         crc = [zlib.crc32(values[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
         rest = [batch.column(c) for c in ("doc_id", "start", "n_tokens")]
