@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyhouse.llm import components, cuckoo, simhash
-from tallyhouse.llm.common import FILE, ROW, on_files, with_row_key
+from tallyhouse.llm.common import FILE, ROW, on_files, stored, with_row_key
 
 RANDOM = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
