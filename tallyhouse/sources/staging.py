@@ -2,7 +2,7 @@
 
 import logging
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -119,6 +119,14 @@ def header_census(spark: SparkSession, path: str) -> dict[str, list[str]]:
     One Spark job. Each task has one file, however large, and stops reading after its
     first rows; the driver opens none and gets one row per header.
     """
+
+    # Defined here, it is sent to the executors whole: they need not have this package.
+    def first_row(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     # A session of its own, so that no other query sees these settings.
     single = spark.newSession()
     whole = str(1 << 60)
@@ -131,7 +139,7 @@ def header_census(spark: SparkSession, path: str) -> dict[str, list[str]]:
     }.items():
         single.conf.set(key, value)
     lines = single.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    firsts = lines.mapInArrow(_first_row, "value string, path string")
+    firsts = lines.mapInArrow(first_row, "value string, path string")
     # Paths are what Spark's own file listing holds on the driver as well.
     # The column holds paths as URIs, in which a plus sign stands for itself.
     path_text = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
@@ -139,13 +147,6 @@ def header_census(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return {row["value"]: row["paths"] for row in found.collect()}
 
 
-def _first_row(batches: Iterator) -> Iterator:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def _csv_files(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Files of equal headers are read together, then united by normalized names."""
     by_header = header_census(spark, spec.path)
