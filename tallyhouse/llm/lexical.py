@@ -435,6 +435,7 @@ def search(
 ) -> DataFrame:
     """Each item's k best documents of an index: item_id, rank, doc_id, score."""
     spark = index.sparkSession
+    ship_package(spark)
     named = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
     id_field = T.StructField("item_id", named.schema["item_id"].dataType)
     parts = []
