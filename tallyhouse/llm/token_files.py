@@ -46,7 +46,9 @@ def _encode_ordered(tokenizer: str | None, end_id: int):
         part, before = TaskContext.get().partitionId(), 0
         coder = encoder(tokenizer)
         end = np.array([end_id], np.int32)
-        for batch in batches:
+        # A few texts at a time are held as Python strings.
+        few = (b.slice(k, BATCH) for b in batches for k in range(0, b.num_rows, BATCH))
+        for batch in few:
             for run in slices(texts := batch.column(1).to_pylist()):
                 ids = [
                     np.frombuffer(x, coder.dtype).astype(np.int32) for x in coder.encode(texts[run])

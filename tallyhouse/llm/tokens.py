@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import sys
 from array import array
 from collections.abc import Callable
@@ -19,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces held by one Python worker; about 200 bytes each.
-MAX_CACHE = 900_000
+MAX_CACHE = 600_000
 BLOCK = 4096
 
 #: A line feed, one word of Latin letters with its space, punctuation: three tokens' worth
@@ -121,19 +122,22 @@ class Encoder:
 
     def _learn(self, piece: str) -> bytes | None:
         """The ids of a piece; None where what follows may change its tokens."""
+        # Most are a space and a word without accents.
+        if piece[:1] == " " and piece.isascii() and piece[1:].isalpha():
+            return self._word(BYTE_LETTERS[32] + piece[1:])
         if found := WORD_PIECE.fullmatch(piece):
             feed, core, tail = found.groups()
             if feed or tail:
                 return self._part(feed) + self.cache[core] + self._part(tail)
-            if core.isascii():
-                spelled = core.replace(" ", BYTE_LETTERS[32])
-            else:
-                spelled = core.encode().decode("latin-1").translate(BYTE_LETTERS)
-            return packed([t.id for t in self.tokenize(spelled)], self.dtype)
+            return self._word(core.encode().decode("latin-1").translate(BYTE_LETTERS))
         if piece and piece[-1].isspace():
             return None
         return self._ids(piece)
 
+    def _word(self, spelled: str) -> bytes:
+        """The ids of a word written in the letters of the vocabulary."""
+        return packed([t.id for t in self.tokenize(spelled)], self.dtype)
+
     def _part(self, text: str) -> bytes:
         """The ids of a line feed or of a run of punctuation, one token's worth of text."""
         if (ids := self.parts.get(text)) is None:
@@ -157,7 +161,7 @@ class Encoder:
         """The ids of each text as bytes; a null text has none.
 
         The pieces of all texts are found, told apart and put together again in Arrow;
-        Python sees each different piece of the batch once.
+        Python sees each different word of the batch once, whatever punctuation follows it.
         """
         if not self.by_piece:
             return [self._ids(text or "") for text in texts]
@@ -168,17 +172,23 @@ class Encoder:
             column = pc.replace_substring(column, sign, "\0" + sign)
         pieces = pc.split_pattern(column, "\0")
         coded = pieces.values.dictionary_encode()
-        found = [*map(self.cache.__getitem__, coded.dictionary.to_pylist())]
-        open_ended = np.array([x is None for x in found], bool)
-        known = [x or b"" for x in found]
-        starts = _running(np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize)
+        parts = _without_tails(coded.dictionary).dictionary_encode()
+        found = [*map(self.cache.__getitem__, _strings(parts.dictionary))]
+        open_ended = np.zeros(len(found), bool)
+        known = found
+        if None in found:
+            open_ended[[k for k, x in enumerate(found) if x is None]] = True
+            known = [x or b"" for x in found]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
         ids = pa.array(np.frombuffer(b"".join(known), self.dtype))
-        place = coded.indices.to_numpy()
-        taken = pa.LargeListArray.from_arrays(pa.array(starts), ids).take(coded.indices).flatten()
+        # Two parts make a piece, the pieces in a row a text.
+        spelled, starts = _listed(ids, _running(sizes), parts.indices)
+        taken, starts_taken = _listed(spelled, starts[::2], coded.indices)
         flat = taken.to_numpy().tobytes()
         ends = pieces.offsets.to_numpy()
-        at = (_running(np.diff(starts)[place])[ends] * self.dtype.itemsize).tolist()
-        odd = np.diff(_running(open_ended[place])[ends]).tolist()
+        at = (starts_taken[ends] * self.dtype.itemsize).tolist()
+        is_open = open_ended[parts.indices.to_numpy()].reshape(-1, 2).any(axis=1)
+        odd = np.diff(_running(is_open[coded.indices.to_numpy()])[ends]).tolist()
         out = []
         for k, text in enumerate(texts):
             if text and "\0" in text:
@@ -187,6 +197,8 @@ class Encoder:
                 out.append(self._encode_merged(text))
             else:
                 out.append(flat[at[k] : at[k + 1]])
+        # Else Arrow keeps the room of a whole batch while the worker lives.
+        pa.default_memory_pool().release_unused()
         return out
 
     def _encode_merged(self, text: str) -> bytes:
@@ -197,6 +209,27 @@ class Encoder:
         return b"".join([*map(get, merged[:-1]), self._ids(merged[-1]) if last is None else last])
 
 
+def _without_tails(pieces: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Two texts for each piece: a word and the punctuation after it, or the piece and nothing."""
+    offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset :][: len(pieces) + 1]
+    cuts = np.empty(2 * len(pieces) + 1, np.int64)
+    cuts[::2] = offsets
+    is_word = pc.match_substring_regex(pieces, f"^(?:{WORD_PIECE.pattern})$")
+    words = pc.binary_length(pc.ascii_rtrim(pieces, string.punctuation)).to_numpy()
+    cuts[1::2] = np.where(is_word.to_numpy(zero_copy_only=False), offsets[:-1] + words, offsets[1:])
+    return pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pieces.buffers()[2])
+
+
+def _strings(column: pa.LargeStringArray) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _listed(ids: pa.Array, starts: np.ndarray, places: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The runs of ids that begin at starts, in the order of places, and where each begins."""
+    runs = pa.LargeListArray.from_arrays(pa.array(starts), ids).take(places)
+    return runs.flatten(), _running(np.diff(starts)[places.to_numpy()])
+
+
 def _running(sizes: np.ndarray) -> np.ndarray:
     """The sums before each place, and the sum of all."""
     return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])

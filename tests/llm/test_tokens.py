@@ -36,6 +36,15 @@ def test_pieces_give_the_ids_of_the_whole_text(plain):
         assert np.frombuffer(ids, encoder.dtype).tolist() == plain(text), repr(text)
 
 
+def test_a_word_is_learned_once_whatever_punctuation_follows(plain):
+    encoder = Encoder()
+    text = "one, one. one!? Été, Été\none\none,\none; one's 1. <one>"
+    assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == plain(text)
+    words = {" one", " \u00c9t\u00e9", "\none"}
+    assert words <= set(encoder.cache)
+    assert not {w + tail for w in words for tail in (",", ".", "!?", ";")} & set(encoder.cache)
+
+
 @settings(max_examples=200, deadline=None)
 @given(text=st.text(max_size=40))
 def test_any_text(text):
