@@ -66,8 +66,9 @@ def sales_totals(w) -> DataFrame:
 
 def table_counts(w) -> DataFrame:
     """Rows per table."""
+    w.tables([table for table in COUNTED.values() if table.startswith("dim_")])
     counts = [
-        w[table].agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), "filas")
+        w.counted(table).agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), "filas")
         for name, table in COUNTED.items()
     ]
     return reduce(DataFrame.unionByName, counts)

@@ -2,7 +2,9 @@
 
 import threading
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tallyhouse.operators.keys import assign_keys, file_offsets, in_order, with_keys
@@ -74,7 +76,7 @@ MARTS: dict[str, Callable[["Warehouse"], DataFrame]] = {
         w["sales_by_product"], w["dim_producto"], w.collation
     ),
     "p06_inventario_muerto": lambda w: stock.dead_stock(
-        w["dim_producto"], w["sales_by_product"], w["stock_by_product"]
+        *w.tables(["dim_producto", "sales_by_product", "stock_by_product"])
     ),
     "p06_inventario_muerto_resumen": lambda w: stock.dead_stock_summary(
         w["p06_inventario_muerto"]
@@ -133,6 +135,30 @@ class Warehouse:
                 self._tables[name] = self._stored(name)
             return self._tables[name]
 
+    def tables(self, names: list[str], threads: int = 4) -> list[DataFrame]:
+        """Tables by name; those that are not there yet are built side by side.
+
+        Most of a dimension's time is that of small jobs, which fill each other's gaps. A
+        table waits only for tables it is made from, so no two wait for each other.
+        """
+        missing = [n for n in names if n not in self.staging and n not in self._tables]
+        if len(missing) > 1:
+            target = inheritable_thread_target(self.store.spark)(self.__getitem__)
+            with ThreadPoolExecutor(threads) as pool:
+                list(pool.map(target, missing))
+        return [self[n] for n in names]
+
+    def counted(self, name: str) -> DataFrame:
+        """A table whose rows are to be counted and not read.
+
+        A fact has the rows of its lines. Where neither is stored, neither is written: Spark
+        leaves out of the lines' plan all columns but those that decide how many rows there are.
+        """
+        if name not in facts.FACT_LINES or name in self._tables:
+            return self[name]
+        source, _ = facts.FACT_LINES[name]
+        return self[source] if source in self._tables else self.lines(source)
+
     def plan(self, name: str) -> DataFrame:
         """A mart as a lazy query over stored tables, itself not stored."""
         return MARTS[name](self)
@@ -141,11 +167,11 @@ class Warehouse:
         """Dimension rows before keys are assigned."""
         build, inputs = DIMS[name]
         options = {"collation": self.collation} if build is dims.products else {}
-        return build(*[self[i] for i in inputs], **options)
+        return build(*self.tables(inputs), **options)
 
     def lines(self, name: str) -> DataFrame:
         build, inputs = LINES[name]
-        return build(*[self[i] for i in inputs])
+        return build(*self.tables(inputs))
 
     def fact(self, name: str) -> DataFrame:
         """A fact, stored in the order of its source column, which its keys follow.
@@ -176,5 +202,5 @@ class Warehouse:
             return self.store.save("work", name, self.lines(name))
         if name in ROLLUPS:
             build, inputs = ROLLUPS[name]
-            return self.store.save("work", name, build(*[self[i] for i in inputs]))
+            return self.store.save("work", name, build(*self.tables(inputs)))
         return self.store.save("marts", name, self.plan(name))

@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tallyhouse.plans import rollups
 from tallyhouse.plans.quality import quality_checks
-from tallyhouse.plans.warehouse import DIMS, LINES, MARTS
+from tallyhouse.plans.report import table_counts
+from tallyhouse.plans.store import Store
+from tallyhouse.plans.warehouse import DIMS, LINES, MARTS, Warehouse
+from tallyhouse.sources import testbed
 
 SMALL = "/root/testdata/sf0.001"
+FACTS = ["fact_compras", "fact_mov_inventario", "fact_ventas"]
 
 
 def plan(df):
@@ -129,3 +134,27 @@ def test_marts_read_rollups_only(warehouse):
 def test_core_tables_cut_the_lineage(warehouse):
     for name in DIMS:
         assert "lineitem" not in plan(warehouse[name])
+
+
+def test_rows_are_counted_without_writing_the_facts(spark, warehouse):
+    fresh = Warehouse(testbed.staging(spark, SMALL), Store.scratch(spark))
+    counts = {r.tabla: r.filas for r in table_counts(fresh).collect()}
+    made = [*fresh.store.files.names(f"{fresh.store.root}/core"), *fresh.store.files.names(f"{fresh.store.root}/work")]
+    assert not {*FACTS, *LINES} & set(made)
+    assert {f: counts[f] for f in FACTS} == {f: warehouse[f].count() for f in FACTS}
+    # Where they are stored, they are what is counted.
+    assert "numero" not in plan(table_counts(warehouse))
+
+
+def test_missing_inputs_are_built_side_by_side(spark):
+    fresh = Warehouse(testbed.staging(spark, SMALL), Store.scratch(spark))
+    both = threading.Barrier(2, timeout=60)
+    build = fresh._stored
+
+    def stored(name):
+        both.wait()
+        return build(name)
+
+    fresh._stored = stored
+    moneda, hora = fresh.tables(["dim_moneda", "dim_hora"])
+    assert (moneda.columns[0], hora.columns[0]) == ("sk_moneda", "sk_hora")
