@@ -139,7 +139,7 @@ def _encode(tokenizer: str | None, end_id: int):
         width = coder.dtype.itemsize
         for batch in batches:
             rest = [batch.column(c) for c in ("doc_id", FILE, ROW)]
-            for run in slices(texts := batch.column("text").to_pylist()):
+            for run in slices(texts := batch.column("text")):
                 ids = [x + end for x in coder.encode(texts[run])]
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,14 +29,14 @@ from tallyhouse.llm.tokens import encoder
 
 SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 #: Texts encoded at once, by count and by characters.
-BATCH, BATCH_CHARS = 1024, 1 << 22
+BATCH, BATCH_CHARS = 2048, 1 << 23
 
 
-def slices(texts: list[str | None]) -> Iterator[slice]:
+def slices(texts: pa.Array) -> Iterator[slice]:
     """Runs of texts that are encoded together; a very long text may make up its own run."""
     start, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text or "")
+    for k, size in enumerate(pc.utf8_length(texts).to_pylist()):
+        held += size or 0
         if k + 1 - start >= BATCH or held >= BATCH_CHARS or k + 1 == len(texts):
             yield slice(start, k + 1)
             start, held = k + 1, 0
@@ -46,10 +47,8 @@ def _encode_ordered(tokenizer: str | None, end_id: int):
         part, before = TaskContext.get().partitionId(), 0
         coder = encoder(tokenizer)
         end = np.array([end_id], np.int32)
-        # A few texts at a time are held as Python strings.
-        few = (b.slice(k, BATCH) for b in batches for k in range(0, b.num_rows, BATCH))
-        for batch in few:
-            for run in slices(texts := batch.column(1).to_pylist()):
+        for batch in batches:
+            for run in slices(texts := batch.column(1)):
                 ids = [
                     np.frombuffer(x, coder.dtype).astype(np.int32) for x in coder.encode(texts[run])
                 ]

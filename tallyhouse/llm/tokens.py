@@ -2,7 +2,8 @@
 
 A text is cut before every space and line feed. Where the character before the cut is no
 white space, no token can reach over it (the pre-tokenizer lets a token take at most the
-one space before it), so the pieces' ids in a row are the text's ids. Pieces repeat far
+one space before it), so the pieces' ids in a row are the text's ids. It is also cut where
+punctuation follows a letter, which the pre-tokenizer always keeps apart. Pieces repeat far
 more than texts, and each is encoded once while the cache holds it.
 """
 
@@ -14,18 +15,22 @@ import string
 import sys
 from array import array
 from collections.abc import Callable
+from itertools import compress, pairwise, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces held by one Python worker; about 200 bytes each.
-MAX_CACHE = 600_000
+MAX_CACHE = 800_000
 BLOCK = 4096
 
 #: A line feed, one word of Latin letters with its space, punctuation: three tokens' worth
 #: of text that the pre-tokenizer keeps apart, so that the word can go straight to the model.
-WORD_PIECE = re.compile("(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
+WORD = " ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+WORD_PIECE = re.compile(f"(\n?)({WORD})([!-/:-@\\[-`{{-~]*)")
+LONE_WORD = re.compile(f"\n?{WORD}")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,6 +41,28 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+#: The same by byte, but a line feed stays one.
+LETTER_POINTS = np.array([10 if b == 10 else ord(BYTE_LETTERS[b]) for b in range(256)], "<u4")
+
+STARTS, PUNCTUATION, LETTER, LATIN = 1, 2, 3, 4
+
+
+def _byte_kinds() -> np.ndarray:
+    """Bytes that begin a piece, punctuation, letters, and first bytes of two that make a Latin letter."""
+    kinds = np.zeros(256, np.uint8)
+    for kind, letters in (
+        (STARTS, b" \n"),
+        (PUNCTUATION, string.punctuation.encode()),
+        (LETTER, string.ascii_letters.encode()),
+        (LATIN, bytes(range(0xC3, 0xC9))),
+    ):
+        kinds[list(letters)] = kind
+    return kinds
+
+
+BYTE_KINDS = _byte_kinds()
+#: What the piece cache does not hold; None there is a piece that is open at its end.
+UNKNOWN = object()
 
 
 def default_tokenizer() -> str:
@@ -157,46 +184,65 @@ class Encoder:
                 held = ""
         return [*out, held] if held else out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _learned(self, pieces: list[str]) -> list[bytes | None]:
+        """The ids of new pieces; those of all words among them are packed together."""
+        are_words = [LONE_WORD.fullmatch(piece) is not None for piece in pieces]
+        words = [*compress(pieces, are_words)]
+        feed = np.frombuffer(self._part("\n"), self.dtype).tolist()
+        ids, ends = [], [0]
+        for word, spelled in zip(words, _spelled([w.removeprefix("\n") for w in words]), strict=True):
+            if word[0] == "\n":
+                ids += feed
+            ids += [t.id for t in self.tokenize(spelled)]
+            ends.append(len(ids) * self.dtype.itemsize)
+        flat = packed(ids, self.dtype)
+        spans = pairwise(ends)
+        return [
+            flat[slice(*next(spans))] if is_word else self._learn(piece)
+            for piece, is_word in zip(pieces, are_words, strict=True)
+        ]
+
+    def _found(self, pieces: list[str]) -> list[bytes | None]:
+        """The ids of each of different pieces, which are young in the cache from now on."""
+        found = [*map(self.cache.get, pieces, repeat(UNKNOWN))]
+        are_missing = [*map(is_, found, repeat(UNKNOWN))]
+        missing = [*compress(pieces, are_missing)]
+        known = [*map(self.cache.old.get, missing, repeat(UNKNOWN))]
+        are_new = [*map(is_, known, repeat(UNKNOWN))]
+        for k, ids in zip(_places(are_new), self._learned([*compress(missing, are_new)]), strict=True):
+            known[k] = ids
+        self.cache.update(zip(missing, known, strict=True))
+        for k, ids in zip(_places(are_missing), known, strict=True):
+            found[k] = ids
+        return found
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """The ids of each text as bytes; a null text has none.
 
         The pieces of all texts are found, told apart and put together again in Arrow;
         Python sees each different word of the batch once, whatever punctuation follows it.
         """
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        column = pc.fill_null(column.cast(pa.large_string()), "")
         if not self.by_piece:
-            return [self._ids(text or "") for text in texts]
+            return [self._ids(text) for text in column.to_pylist()]
         self.cache.turn()
-        # The sign at which texts are cut may not stand in a text.
-        column = pa.array(["" if not t or "\0" in t else t for t in texts], pa.large_string())
-        for sign in (" ", "\n"):
-            column = pc.replace_substring(column, sign, "\0" + sign)
-        pieces = pc.split_pattern(column, "\0")
-        coded = pieces.values.dictionary_encode()
-        parts = _without_tails(coded.dictionary).dictionary_encode()
-        found = [*map(self.cache.__getitem__, _strings(parts.dictionary))]
-        open_ended = np.zeros(len(found), bool)
-        known = found
+        pieces, ends = _pieces(column)
+        coded = pieces.dictionary_encode()
+        found = self._found(_strings(coded.dictionary))
+        odd = []
         if None in found:
-            open_ended[[k for k, x in enumerate(found) if x is None]] = True
-            known = [x or b"" for x in found]
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
-        ids = pa.array(np.frombuffer(b"".join(known), self.dtype))
-        # Two parts make a piece, the pieces in a row a text.
-        spelled, starts = _listed(ids, _running(sizes), parts.indices)
-        taken, starts_taken = _listed(spelled, starts[::2], coded.indices)
+            is_open = np.fromiter((x is None for x in found), bool, len(found))
+            odd = np.flatnonzero(np.diff(_running(is_open[coded.indices.to_numpy()])[ends])).tolist()
+            found = [x or b"" for x in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        ids = pa.array(np.frombuffer(b"".join(found), self.dtype))
+        taken, starts = _listed(ids, _running(sizes), coded.indices)
         flat = taken.to_numpy().tobytes()
-        ends = pieces.offsets.to_numpy()
-        at = (starts_taken[ends] * self.dtype.itemsize).tolist()
-        is_open = open_ended[parts.indices.to_numpy()].reshape(-1, 2).any(axis=1)
-        odd = np.diff(_running(is_open[coded.indices.to_numpy()])[ends]).tolist()
-        out = []
-        for k, text in enumerate(texts):
-            if text and "\0" in text:
-                out.append(self._ids(text))
-            elif odd[k]:
-                out.append(self._encode_merged(text))
-            else:
-                out.append(flat[at[k] : at[k + 1]])
+        out = [flat[a:b] for a, b in pairwise((starts[ends] * self.dtype.itemsize).tolist())]
+        for k in odd:
+            text = column[k].as_py()
+            out[k] = self._ids(text) if "\0" in text else self._encode_merged(text)
         # Else Arrow keeps the room of a whole batch while the worker lives.
         pa.default_memory_pool().release_unused()
         return out
@@ -209,15 +255,35 @@ class Encoder:
         return b"".join([*map(get, merged[:-1]), self._ids(merged[-1]) if last is None else last])
 
 
-def _without_tails(pieces: pa.LargeStringArray) -> pa.LargeStringArray:
-    """Two texts for each piece: a word and the punctuation after it, or the piece and nothing."""
-    offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset :][: len(pieces) + 1]
-    cuts = np.empty(2 * len(pieces) + 1, np.int64)
-    cuts[::2] = offsets
-    is_word = pc.match_substring_regex(pieces, f"^(?:{WORD_PIECE.pattern})$")
-    words = pc.binary_length(pc.ascii_rtrim(pieces, string.punctuation)).to_numpy()
-    cuts[1::2] = np.where(is_word.to_numpy(zero_copy_only=False), offsets[:-1] + words, offsets[1:])
-    return pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pieces.buffers()[2])
+def _pieces(column: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The pieces of all texts, and the number of pieces before each text and of all."""
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    first, last = int(bounds[0]), int(bounds[-1])
+    data = column.buffers()[2] or pa.py_buffer(b"")
+    held = np.frombuffer(data, np.uint8)[first:last]
+    kinds = BYTE_KINDS[held]
+    starts = kinds == STARTS
+    marks = np.flatnonzero(kinds == PUNCTUATION)
+    before = np.maximum(marks - 1, 0)
+    # The signs of multiplication and division have these second bytes.
+    latin = (kinds[np.maximum(marks - 2, 0)] == LATIN) & ~np.isin(held[before], (0x97, 0xB7))
+    starts[marks[(kinds[before] == LETTER) | latin]] = True
+    starts[bounds[:-1][bounds[:-1] < last] - first] = True
+    cuts = np.append(np.flatnonzero(starts) + first, last)
+    pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), data)
+    return pieces, np.searchsorted(cuts, bounds)
+
+
+def _spelled(words: list[str]) -> list[str]:
+    """Words in the letters of the vocabulary."""
+    if not words:
+        return []
+    held = np.frombuffer("\n".join(words).encode(), np.uint8)
+    return LETTER_POINTS[held].tobytes().decode("utf-32-le").split("\n")
+
+
+def _places(marked: list[bool]) -> list[int]:
+    return np.flatnonzero(marked).tolist()
 
 
 def _strings(column: pa.LargeStringArray) -> list[str]:

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -45,6 +46,38 @@ def test_a_word_is_learned_once_whatever_punctuation_follows(plain):
     assert not {w + tail for w in words for tail in (",", ".", "!?", ";")} & set(encoder.cache)
 
 
+def test_words_of_a_batch_are_learned_together(plain, monkeypatch):
+    encoder, alone = Encoder(), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda piece: alone.append(piece) or learn(piece))
+    encoder.cache.learn = encoder._learn
+    texts = ["One two, \u00c9t\u00e9: three\nfour a\0b", "one. Two;\n\u00e9t\u00e9 -- 5", None, ""]
+    got = encoder.encode(texts)
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == plain(text)
+    assert not [piece for piece in alone if piece.strip().isalpha()]
+
+
+def test_cuts_beside_letters_and_signs_of_two_bytes(plain):
+    encoder = Encoder()
+    letters = ["a", "Z", "\u00d7", "\u00f7", "\u00d6", "\u0117", "\u0237", "\u024f", "\u2014", "\u6f22"]
+    texts = [x + y + z for x in ["", *letters] for y in [",", "'s", "!?", "\0", ".,a"] for z in ["", *letters]]
+    got = encoder.encode([" ".join(texts), *texts])
+    for text, ids in zip([" ".join(texts), *texts], got, strict=True):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == plain(text), repr(text)
+
+
+def test_a_slice_of_a_column_is_encoded(plain):
+    encoder = Encoder()
+    texts = ["first, one", None, "second \u00e9t\u00e9", "", "a  b\n\nc\0", "last.", "left out"]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        for start, count in ((0, 7), (1, 5), (3, 1), (1, 1), (2, 0)):
+            got = encoder.encode(column.slice(start, count))
+            ids = [np.frombuffer(x, encoder.dtype).tolist() for x in got]
+            assert ids == [plain(text) for text in texts[start : start + count]]
+
+
 @settings(max_examples=200, deadline=None)
 @given(text=st.text(max_size=40))
 def test_any_text(text):
