@@ -45,10 +45,13 @@ def _remove(files: Files, folder: str) -> None:
         files.delete(folder)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: durable, cuts the lineage."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: durable, cuts the lineage.
+
+    Options are those of the Parquet writer.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

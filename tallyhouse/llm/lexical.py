@@ -3,7 +3,8 @@
 The index is cut by documents. A shard is one stored row: some thousand documents with their
 lengths, and for every term the documents that hold it with its occurrences, in ascending
 order. Tasks build shards as they read, so indexing shuffles nothing, and a shard never
-outgrows its bound of tokens (one longer document makes up a shard of its own).
+outgrows its bound of tokens (one longer document makes up a shard of its own). Each shard is
+a row group of its file: however many shards a task writes or reads, it decodes one at a time.
 
 Queries come in blocks, whose terms bound what is sent to the tasks. For a block:
 
@@ -48,6 +49,9 @@ from tallyhouse.llm.common import ship_package, stored
 
 #: A shard is closed at so many tokens or documents; both bound a row of the index.
 SHARD_TOKENS, SHARD_DOCS = 2_000_000, 1 << 16
+#: Spark's reader decodes up to 4096 rows of a row group at once, and its writer holds a hundred rows
+#: before it looks at their size; with rows of many megabytes neither may be left to that.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1"}
 #: A block of queries is closed at so many terms; one longer query is a block of its own.
 BLOCK_TERMS = 50_000
 #: Bytes of a text that are cut into terms at once.
@@ -99,10 +103,15 @@ class _Builder:
 
     def row(self) -> pa.RecordBatch:
         docs = len(self.ids)
-        owner = np.repeat(np.arange(docs, dtype=np.int64), self.lengths)
-        code = np.concatenate([*self.tokens, np.empty(0, np.int32)]).astype(np.int64) * max(docs, 1) + owner
-        postings, times = np.unique(code, return_counts=True)
-        term, doc = np.divmod(postings, max(docs, 1))
+        code = np.concatenate([*self.tokens, np.empty(0, np.int32)], dtype=np.int64)
+        self.tokens = []
+        code *= max(docs, 1)
+        code += np.repeat(np.arange(docs, dtype=np.int32), self.lengths)
+        code.sort()
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        times = np.diff(first, append=len(code))
+        term, doc = np.divmod(code[first], max(docs, 1))
+        del code, first
         starts = np.searchsorted(term, np.arange(len(self.terms) + 1))
         out = {
             "ids": pa.array(self.ids, self.id_type),
@@ -141,7 +150,7 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         f"n_docs long, n_terms long, ids array<{kind}>, lengths array<long>, terms array<binary>, "
         "starts array<int>, docs array<int>, times array<int>"
     )
-    return stored(named.mapInArrow(_index, schema), "lexical-index")
+    return stored(named.mapInArrow(_index, schema), "lexical-index", **ROW_GROUPS)
 
 
 def weight(n_docs: int, df: int) -> int:
@@ -409,7 +418,7 @@ def _best(index: DataFrame, queries: list[list[bytes]], k: int, by_pairs: bool)
         f"ids {kind}, terms {lists}, starts {lists}, docs array<int>, impacts {lists}, joint {lists}, "
         f"query {lists}, first {lists}"
     )
-    shards = stored(postings.mapInArrow(_block_shards(block), schema), "lexical-block")
+    shards = stored(postings.mapInArrow(_block_shards(block), schema), "lexical-block", **ROW_GROUPS)
     first = shards.select(F.inline(F.arrays_zip("query", "first")))
     by_score = Window.partitionBy("query").orderBy(F.col("first").desc())
     kth = first.withColumn("place", F.row_number().over(by_score)).where(F.col("place") == k)

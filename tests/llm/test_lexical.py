@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tallyhouse.llm import lexical
@@ -157,3 +158,38 @@ def test_terms_of_long_texts_do_not_depend_on_slices(monkeypatch):
     whole = [t.encode() for t in terms(text)]
     monkeypatch.setattr(lexical, "SLICE", 64)
     assert [t for part in lexical.terms_of(text) for t in part] == whole
+
+
+def test_each_shard_is_a_row_group(spark, make, monkeypatch):
+    # A task with several shards: a reader decodes a row group at once, so none may hold two.
+    kept, stored = [], lexical.stored
+    monkeypatch.setattr(lexical, "stored", lambda *a, **b: kept.append(stored(*a, **b)) or kept[-1])
+    docs = spark.range(0, 3 * lexical.SHARD_DOCS - 5, 1, 1).selectExpr(
+        "id AS doc_id", "if(id % 1000 = 7, 'a b', 'b') AS text"
+    )
+    index = lexical.build_index(docs)
+    found = lexical.search(index, make([(1, "A")], ITEMS), k=2)
+    assert [(r["rank"], r["doc_id"]) for r in found.orderBy("rank").collect()] == [(1, 7), (2, 1007)]
+    shards = [df for df in kept if "ids" in df.columns]
+    assert len(shards) == 2  # the index and the block
+    for df in shards:
+        files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in df.inputFiles()]
+        assert [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)] == [1, 1, 1]
+
+
+def test_a_shard_counts_its_terms_in_document_order():
+    builder = lexical._Builder(pa.int64())
+    for doc_id, text in ((7, "b a b"), (None, "?"), (8, None), (9, "a c a a"), (7, "c")):
+        builder.add(doc_id, text)
+    (row,) = builder.row().to_pylist()
+    assert builder.ids == builder.tokens == [] and builder.held == 0
+    assert row == {
+        "n_docs": 3,
+        "n_terms": 8,
+        "ids": [7, 9, 7],
+        "lengths": [3, 4, 1],
+        "terms": [b"b", b"a", b"c"],
+        "starts": [0, 1, 3, 5],
+        "docs": [0, 0, 1, 1, 2],
+        "times": [2, 1, 3, 1, 1],
+    }
